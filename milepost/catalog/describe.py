@@ -14,7 +14,7 @@ _NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 def _describe_sql(column: str) -> str:
     q = ", ".join(
-        f"round(quantile_cont({column}, {s}), 4) + 0.0e0 AS q{int(s * 100)}" for s in (0.25, 0.5, 0.75)
+        f"round(quantile_cont({column}, {s}), 6) + 0.0e0 AS q{int(s * 100)}" for s in (0.25, 0.5, 0.75)
     )
     return f"""SELECT '{column}' AS "column", count({column}) AS n, round(avg({column}), 4) + 0.0e0 AS mean,
       round(stddev_samp({column}), 4) + 0.0e0 AS std, round(min({column}), 4) + 0.0e0 AS min,
@@ -24,12 +24,12 @@ def _describe_sql(column: str) -> str:
 @query("describe", " UNION ALL ".join(_describe_sql(c) for c in _NUMBERS))
 def describe(spark, sf_dir):
     out = profile.describe(load(spark, sf_dir, "lineitem"), _NUMBERS)
-    return rounded(out, ["mean", "std", "min", "max", "q25", "q50", "q75"])
+    return rounded(rounded(out, ["mean", "std", "min", "max"]), ["q25", "q50", "q75"], 6)
 
 
 @query(
     "percentiles",
-    """SELECT l_returnflag, s AS share, round(p, 4) + 0.0e0 AS percentile, n FROM (
+    """SELECT l_returnflag, s AS share, round(p, 6) + 0.0e0 AS percentile, n FROM (
       SELECT l_returnflag, count(*) AS n, unnest([0.01e0, 0.025e0, 0.975e0, 0.99e0]) AS s,
         unnest(quantile_cont(l_extendedprice, [0.01, 0.025, 0.975, 0.99])) AS p
       FROM lineitem GROUP BY l_returnflag)""",
@@ -38,17 +38,17 @@ def percentiles(spark, sf_dir):
     items = load(spark, sf_dir, "lineitem")
     shares = [0.01, 0.025, 0.975, 0.99]
     return rounded(
-        exact_percentiles(items, "l_extendedprice", shares, ["l_returnflag"]), ["percentile"]
+        exact_percentiles(items, "l_extendedprice", shares, ["l_returnflag"]), ["percentile"], 6
     )
 
 
 @query(
     "global_median",
-    """SELECT 0.5e0 AS share, round(quantile_cont(o_totalprice, 0.5), 4) + 0.0e0 AS percentile,
+    """SELECT 0.5e0 AS share, round(quantile_cont(o_totalprice, 0.5), 6) + 0.0e0 AS percentile,
       count(*) AS n FROM orders""",
 )
 def global_median(spark, sf_dir):
-    return rounded(exact_percentiles(load(spark, sf_dir, "orders"), "o_totalprice", [0.5]), ["percentile"])
+    return rounded(exact_percentiles(load(spark, sf_dir, "orders"), "o_totalprice", [0.5]), ["percentile"], 6)
 
 
 @query(

@@ -275,18 +275,6 @@ def vector_class_report(spark, sf_dir):
     return rounded(evaluation.class_report(rows, "truth", "predicted"), ["precision", "recall", "f1"], 6)
 
 
-def _three_way_scorer():
-    """Scores of three classes: the sums of three fixed slices of the vector."""
-
-    def predict(batch: np.ndarray) -> np.ndarray:
-        wide = batch.astype("float64")
-        return np.stack(
-            [wide[:, 0:20].sum(axis=1), wide[:, 20:40].sum(axis=1), wide[:, 40:60].sum(axis=1)], axis=1
-        ).astype("float32")
-
-    return predict
-
-
 @query(
     "score_vectors",
     """WITH s AS (SELECT vec_id, list_sum(list_transform(embedding[1:20], x -> CAST(x AS DOUBLE))) AS a,
@@ -296,7 +284,17 @@ def _three_way_scorer():
       round(CAST(greatest(a, b, c) AS DOUBLE), 3) + 0.0e0 AS best FROM s""",
 )
 def score_vectors(spark, sf_dir):
-    scored = training.score_vectors(load(spark, sf_dir, "embeddings"), "embedding", _three_way_scorer)
+    """Three classes scored by the sums of three slices of the vector."""
+
+    def make_scorer():
+        def predict(batch):
+            wide = batch.astype("float64")
+            slices = [wide[:, 0:20], wide[:, 20:40], wide[:, 40:60]]
+            return np.stack([x.sum(axis=1) for x in slices], axis=1).astype("float32")
+
+        return predict
+
+    scored = training.score_vectors(load(spark, sf_dir, "embeddings"), "embedding", make_scorer)
     out = scored.select(
         "vec_id", "predicted", F.array_max("probs").cast("double").alias("best")
     )

@@ -47,7 +47,7 @@ def group_medians(spark, sf_dir):
 )
 def impute_mode(spark, sf_dir):
     parts = derive.gappy_parts(spark, sf_dir).drop("price")
-    return prepare.impute_by_group(parts, ["p_type"], ["p_brand", "p_size"])
+    return prepare.impute_by_group(parts, {"p_type": "mode"}, ["p_brand", "p_size"])
 
 
 @query(
@@ -61,9 +61,8 @@ def impute_mode(spark, sf_dir):
 def impute_median(spark, sf_dir):
     out = prepare.impute_by_group(
         derive.gappy_parts(spark, sf_dir),
-        ["price"],
+        {"price": "median"},
         ["p_brand", "p_type"],
-        how="median",
         missing={"price": F.col("price") == 0},
         overrides={"price": [(F.col("p_brand") == "Brand#11", 76.5)]},
         whole_numbers=True,
@@ -120,7 +119,7 @@ def first_rows(spark, sf_dir):
     "column_edits",
     f"""WITH {derive.PARTS_SQL}
     SELECT p_partkey AS key, coalesce(p_type, 'none') AS p_type, coalesce(p_size, 0) AS p_size,
-      CAST(NULL AS VARCHAR) AS feedback, 's3' AS load_src, CAST(price AS INTEGER) AS price,
+      CAST(NULL AS VARCHAR) AS feedback, 's3' AS load_src, CAST(trunc(price) AS INTEGER) AS price,
       CAST(p_partkey AS VARCHAR) AS key_text
     FROM parts""",
 )
@@ -136,7 +135,7 @@ def column_edits(spark, sf_dir):
             {
                 "feedback": F.lit(None).cast("string"),
                 "load_src": F.lit("s3"),
-                "price": F.round("price").cast("int"),
+                "price": F.col("price").cast("int"),
                 "key_text": F.col("key").cast("string"),
             }
         )

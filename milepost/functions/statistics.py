@@ -3,63 +3,63 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz evaluation)."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    value = d
-    for m in range(1, 500):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        for term in (even, odd):
-            d = 1.0 + term * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + term / c
-            c = c if abs(c) > tiny else tiny
-            value *= c * d
-        if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
-
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function I_x(a, b)."""
-    if x <= 0.0 or x >= 1.0:
-        return float(x >= 1.0)
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-
-
-def two_sided_p(t: float, df: float) -> float:
-    """Two-sided p-value of Student's t with ``df`` degrees of freedom."""
-    if t is None or df is None or math.isnan(t) or math.isnan(df) or df <= 0:
-        return math.nan
-    if math.isinf(t):
-        return 0.0
-    return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
-
-
-def _p_series(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([two_sided_p(a, b) for a, b in zip(t, df)], dtype="float64").replace(
-        {np.nan: None}
-    )
+def student_p_value() -> Callable[[float | None, float | None], float | None]:
+    """Function of (t, degrees of freedom) giving the two-sided p-value of Student's t.
+
+    Built inside a function so that it travels to the workers by value.
+    """
+
+    def beta_fraction(a: float, b: float, x: float) -> float:
+        # Continued fraction of the incomplete beta function; takes about sqrt(max(a, b)) steps.
+        tiny = 1e-300
+        c = 1.0
+        d = 1.0 / (1.0 - (a + b) * x / (a + 1.0) or tiny)
+        value = d
+        for m in range(1, 200_000):
+            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            for term in (even, odd):
+                d = 1.0 / (1.0 + term * d or tiny)
+                c = 1.0 + term / c or tiny
+                value *= c * d
+            if abs(c * d - 1.0) < 1e-15:
+                break
+        return value
+
+    def incomplete_beta(a: float, b: float, x: float) -> float:
+        if x <= 0.0 or x >= 1.0:
+            return float(x >= 1.0)
+        scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+        front = math.exp(scale + a * math.log(x) + b * math.log1p(-x))
+        if x < (a + 1.0) / (a + b + 2.0):
+            return front * beta_fraction(a, b, x) / a
+        return 1.0 - front * beta_fraction(b, a, 1.0 - x) / b
+
+    def p_value(t: float | None, df: float | None) -> float | None:
+        if t is None or df is None or math.isnan(t) or math.isnan(df) or df <= 0:
+            return None
+        if math.isinf(t):
+            return 0.0
+        return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
+
+    return p_value
 
 
 def t_p_value(t: Column, df: Column) -> Column:
     """P-value column; meant for the aggregated frame with one row per metric."""
-    return F.pandas_udf(_p_series, "double")(t, df)
+    p_value = student_p_value()
+
+    def series(ts: pd.Series, dfs: pd.Series) -> pd.Series:
+        return pd.Series([p_value(a, b) for a, b in zip(ts, dfs)], dtype="object").astype("Float64")
+
+    return F.pandas_udf(series, "double")(t, df)
 
 
 def poisson_steps(limit: float = 2.0**-33) -> list[float]:

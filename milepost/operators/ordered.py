@@ -146,10 +146,15 @@ def exact_percentiles(
     )
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on equally named columns where null matches null; keeps the left columns once."""
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Equi-join on equally named columns where null matches null; the keys are coalesced."""
     renamed = right.withColumnsRenamed({k: f"__j_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
         condition = condition & left[k].eqNullSafe(renamed[f"__j_{k}"])
-    return left.join(renamed, condition, how).drop(*[f"__j_{k}" for k in keys])
+    joined = left.join(renamed, condition, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"__j_{k}") for k in keys})
+    return joined.drop(*[f"__j_{k}" for k in keys])

@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.operators.ordered import exact_percentiles
+from milepost.operators.ordered import exact_percentiles, join_null_safe
 from milepost.operators.profile import melt
-from milepost.operators.skew import frequent_key_hashes, lookup_join
+from milepost.operators.skew import lookup_join
 
 
 def keep_between(df: DataFrame, **limits: tuple[float | None, float | None]) -> DataFrame:
@@ -78,37 +78,42 @@ def group_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) ->
 
 def impute_by_group(
     df: DataFrame,
-    columns: Sequence[str],
+    how: Mapping[str, str],
     keys: Sequence[str],
-    how: str = "mode",
     missing: Mapping[str, Column] | None = None,
     overrides: Mapping[str, Sequence[tuple[Column, float]]] | None = None,
     whole_numbers: bool = False,
 ) -> DataFrame:
-    """Replace missing values by the mode or median of their key group; all columns in one join.
+    """Replace missing values by a statistic of their key group; all columns in one join.
 
-    A value is missing when it is null, or when ``missing[column]`` holds. Null keys match null
-    keys. ``overrides[column]`` lists (condition on the keys, value) that replace a group statistic.
-    ``whole_numbers`` cuts medians to integers.
+    ``how`` maps each column to ``mode`` or ``median``. A value is missing when it is null, or when
+    ``missing[column]`` holds. Null keys match null keys. ``overrides[column]`` lists (condition on
+    the keys, value) that replace a group statistic. ``whole_numbers`` cuts medians to integers.
     """
-    missing = dict(missing or {})
-    stats = (group_modes if how == "mode" else group_medians)(df, columns, keys)
-    for c in columns:
+    missing, overrides = dict(missing or {}), dict(overrides or {})
+    stats = None
+    for kind, compute in (("mode", group_modes), ("median", group_medians)):
+        chosen = [c for c, h in how.items() if h == kind]
+        if chosen:
+            part = compute(df, chosen, keys)
+            stats = part if stats is None else join_null_safe(stats, part, keys, "full")
+    for c, kind in how.items():
         value = F.col(c)
-        if how == "median" and whole_numbers:
+        if kind == "median" and whole_numbers:
             value = value.cast("int")
-        for condition, replacement in (overrides or {}).get(c, ()):
+        for condition, replacement in overrides.get(c, ()):
             value = F.when(condition, F.lit(replacement)).otherwise(value)
         stats = stats.withColumn(c, value)
-    stats = stats.withColumnsRenamed({c: f"__stat_{c}" for c in columns})
-    hot = frequent_key_hashes(df, keys)
-    joined = lookup_join(df, stats, keys, "left", null_safe=True, hot=hot)
+    stats = stats.withColumnsRenamed({c: f"__stat_{c}" for c in how})
+    joined = lookup_join(df, stats, keys, "left", null_safe=True)
     kinds = dict(df.dtypes)
-    for c in columns:
-        gap = missing.get(c, F.col(c).isNull())
-        stat = F.col(f"__stat_{c}").cast(kinds[c])
-        joined = joined.withColumn(c, F.when(gap, stat).otherwise(F.col(c)))
-    return joined.select(*df.columns)
+    filled = {
+        c: F.when(
+            missing.get(c, F.col(c).isNull()), F.col(f"__stat_{c}").cast(kinds[c])
+        ).otherwise(F.col(c))
+        for c in how
+    }
+    return joined.withColumns(filled).select(*df.columns)
 
 
 def attach_group_statistic(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:

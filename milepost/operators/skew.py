@@ -11,14 +11,30 @@ HOT_SHARE = 1e-3
 SALTS = 64
 
 
-def frequent_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+def _hash(keys: Sequence[str], types: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, types)])
+
+
+def _common_types(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Types that both sides' keys are compared in; an int and a bigint hash differently."""
+    both = a.select(*keys).union(b.select(*keys))
+    return [f.dataType.simpleString() for f in both.schema.fields]
+
+
+def frequent_key_hashes(
+    df: DataFrame,
+    keys: Sequence[str],
+    share: float = HOT_SHARE,
+    types: Sequence[str] | None = None,
+) -> list[int]:
     """Hashes of all keys that hold more than ``share`` of the rows: at most ``1 / share`` values.
 
     One pass with a mergeable frequent-items sketch: no shuffle of rows, memory bounded by
     ``1 / share``. It may name a few keys too many, which costs a little replication and nothing
     else.
     """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
+    types = types or [dict(df.dtypes)[k] for k in keys]
+    hashed = df.select(_hash(keys, types).alias("h"))
     found = hashed.freqItems(["h"], share).first()
     return sorted(found[0]) if found and found[0] else []
 
@@ -39,18 +55,20 @@ def lookup_join(
     repeated, so the repetition is at most ``salts / share`` rows. The salt depends on the row and
     its task number, so a retried task gives the same rows the same salts and equal copies of one
     row still spread. No side is hinted: a small dimension is broadcast by Spark's own size check.
-    ``hot`` takes key hashes found earlier and saves the detection pass; ``[]`` turns salting off.
+    ``hot`` takes key hashes found earlier for keys of the same types and saves the detection pass;
+    ``[]`` turns salting off.
     """
     keys = list(keys)
+    types = _common_types(fact, dim, keys)
     if hot is None:
-        hot = frequent_key_hashes(fact, keys, share)
+        hot = frequent_key_hashes(fact, keys, share, types)
     right_keys = {k: f"__r_{k}" for k in keys}
     right = dim.withColumnsRenamed(right_keys)
     left = fact
     condition = _match(left, right, keys, null_safe)
     if hot:
-        left = left.withColumn("__salt", _salt(fact, keys, hot, salts))
-        is_hot = F.xxhash64(*right_keys.values()).isin(*hot)
+        left = left.withColumn("__salt", _salt(fact, _hash(keys, types), hot, salts))
+        is_hot = _hash(list(right_keys.values()), types).isin(*hot)
         right = right.withColumn(
             "__rsalt",
             F.explode(
@@ -72,6 +90,6 @@ def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool)
     return condition
 
 
-def _salt(fact: DataFrame, keys: list[str], hot: Sequence[int], salts: int) -> Column:
+def _salt(fact: DataFrame, key_hash: Column, hot: Sequence[int], salts: int) -> Column:
     spread = F.pmod(F.xxhash64(*fact.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    return F.when(F.xxhash64(*keys).isin(*hot), spread).otherwise(F.lit(0))
+    return F.when(key_hash.isin(*hot), spread).otherwise(F.lit(0))

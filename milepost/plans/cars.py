@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from milepost.functions.scalars import lenient_timestamp
 from milepost.operators.prepare import drop_value, impute_by_group, keep_between, lower_case_columns
+from milepost.operators.scratch import written
 
 DATE_COLUMNS = ("datecreated", "datecrawled", "lastseen")
 UNUSED = (*DATE_COLUMNS, "numberofpictures", "postalcode")
@@ -29,24 +30,21 @@ def advert_dates(adverts: DataFrame) -> DataFrame:
 def clean_adverts(adverts: DataFrame) -> DataFrame:
     """Drop unused columns, free cars and outliers; fill the gaps from like cars.
 
-    The model is filled from the brand first; everything else then shares two passes over the
-    (brand, model) groups.
+    The model is filled from the brand first and written to the shared folder; everything else then
+    shares one join with the (brand, model) statistics, which read those rows several times.
     """
     rows = lower_case_columns(adverts).drop(*UNUSED)
     rows = drop_value(rows, "price", 0)
     rows = keep_between(rows, registrationyear=YEARS).where(F.col("power") < POWER_BELOW)
     # Hand-set medians may be fractions.
     rows = rows.withColumn("power", F.col("power").cast("double"))
-    rows = impute_by_group(rows, ["model"], ["brand"])
-    groups = ["brand", "model"]
-    rows = impute_by_group(rows, ["vehicletype", "gearbox", "fueltype"], groups)
+    rows = written(impute_by_group(rows, {"model": "mode"}, ["brand"]), "adverts-with-model")
     hand_set = [(F.col("model") == m, v) for m, v in POWER_BY_MODEL.items()]
     hand_set += [(F.col("brand") == b, v) for b, v in POWER_BY_BRAND.items()]
     rows = impute_by_group(
         rows,
-        ["power"],
-        groups,
-        how="median",
+        {"vehicletype": "mode", "gearbox": "mode", "fueltype": "mode", "power": "median"},
+        ["brand", "model"],
         missing={"power": F.col("power") == 0},
         overrides={"power": hand_set},
         whole_numbers=True,

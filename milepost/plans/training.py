@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from milepost.functions.scalars import arg_max
 from milepost.operators.evaluation import accuracy, rmse, roc_auc
 from milepost.operators.profile import union_all
+from milepost.operators.scratch import written
 
 
 def ordinal_encoder(columns: Sequence[str], suffix: str = "_code") -> StringIndexer:
@@ -126,9 +127,14 @@ class Prepared:
 
 
 def prepare(df: DataFrame, spec: Spec) -> Prepared:
-    """Split first, then fit encoder and scaling on the training rows only."""
+    """Split first, then fit encoder and scaling on the training rows only.
+
+    Training reads its rows many times, so they are written to the shared folder once.
+    """
     columns = [spec.key, spec.label, *spec.numeric, *spec.categories]
-    rows = df.select(*columns).withColumn("label", F.col(spec.label).cast("double"))
+    rows = written(
+        df.select(*columns).withColumn("label", F.col(spec.label).cast("double")), "model-rows"
+    )
     train, test = split(rows, spec.key, spec.seed, spec.test_percent)
     encoder = None
     if spec.categories:
