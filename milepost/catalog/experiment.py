@@ -92,10 +92,27 @@ def ttest_two_groups(spark, sf_dir):
     return rounded(experiment.t_statistics(moments).select("metric", "df", "t"), ["t"], 6)
 
 
-@query("ttest_p_values")
+# Two-sided p-value: one minus twice the density's integral up to |t|, by Simpson's rule.
+_P_SQL = f"""tt AS (SELECT *, CAST(n_a + n_b - 2 AS DOUBLE) AS df, abs({_T_SQL}) AS t_abs FROM m),
+pv AS (
+  SELECT metric, greatest(0.0e0, 1.0e0 - 2.0e0 * any_value(t_abs) / 6000.0e0 * sum(
+      CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+      * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi())
+      * pow(1 + pow(t_abs * i / 2000.0e0, 2) / df, -(df + 1) / 2))) AS p_value
+  FROM tt, range(0, 2001) s(i) GROUP BY metric
+)"""
+
+
+@query(
+    "ttest_p_values",
+    f"""WITH {derive.AB_SQL}, {_P_SQL}
+    SELECT metric, round(mean_a, 4) + 0.0e0 AS mean_a, round(mean_b, 4) + 0.0e0 AS mean_b,
+      n_a + n_b - 2 AS df, round(p_value, 6) + 0.0e0 AS p_value, p_value < 0.05 AS significant
+    FROM m JOIN pv USING (metric)""",
+)
 def ttest_p_values(spark, sf_dir):
-    """P-values have no SQL form; the function is tested against published table values."""
-    return experiment.t_test(_users(spark, sf_dir), "cohort", _METRICS, "A", "B")
+    out = experiment.t_test(_users(spark, sf_dir), "cohort", _METRICS, "A", "B").drop("t")
+    return rounded(rounded(out, ["mean_a", "mean_b"]), ["p_value"], 6)
 
 
 def _poisson_sql(u: str) -> str:
@@ -162,12 +179,25 @@ def ab_result(spark, sf_dir):
     return rounded(report, ["ci_low", "ci_high"], 3)
 
 
-@query("ab_report")
+@query(
+    "ab_report",
+    f"""WITH {derive.AB_SQL}, {_BOOT_SQL}, {_P_SQL},
+    ci AS (SELECT 'revenue' AS metric, quantile_cont(difference, 0.025) AS lo,
+      quantile_cont(difference, 0.975) AS hi FROM diffs)
+    SELECT metric, round(a, 2) + 0.0e0 AS a, round(b, 2) + 0.0e0 AS b,
+      round({_CHANGE_SQL}, 2) + 0.0e0 AS change_pct, {_RATIO_SQL} + 0.0e0 AS ratio_pct,
+      round(p_value, 6) + 0.0e0 AS p_value, p_value < 0.05 AS significant,
+      round(lo, 3) + 0.0e0 AS ci_low, round(hi, 3) + 0.0e0 AS ci_high
+    FROM m JOIN pv USING (metric) LEFT JOIN ci USING (metric)""",
+)
 def ab_report(spark, sf_dir):
-    return experiment.ab_report(
+    """Whole report: totals, change, p-value and interval."""
+    report = experiment.ab_report(
         derive.ab_daily(spark, sf_dir), "user_id", "cohort", _SUMS, "A", "B", counts=["day"],
-        bootstrap={"revenue": 200},
+        bootstrap={"revenue": 20}, weights="md5",
     )
+    report = rounded(report, ["a", "b", "change_pct", "ratio_pct"], 2)
+    return rounded(rounded(report, ["ci_low", "ci_high"], 3), ["p_value"], 6)
 
 
 @query(

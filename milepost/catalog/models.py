@@ -39,9 +39,16 @@ def standard_scale(spark, sf_dir):
     return rounded(training.Scaling.fit(parts, columns).apply(parts), columns, 6)
 
 
-@query("train_test_split")
+def _part_sql(seed: int, key: str, parts: int) -> str:
+    return f"(CAST(('0x' || substr(md5('{seed}|' || {key}), 1, 8)) AS BIGINT) % {parts})"
+
+
+@query(
+    "train_test_split",
+    f"""SELECT CASE WHEN {_part_sql(0, 'o_orderkey', 100)} < 20 THEN 'test' ELSE 'train' END AS part,
+      count(*) AS n FROM orders GROUP BY 1""",
+)
 def train_test_split(spark, sf_dir):
-    """Sizes of both parts; the key hash has no SQL form, the tests check share and stability."""
     train, test = training.split(load(spark, sf_dir, "orders"), "o_orderkey")
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(name).alias("part"), "n"
@@ -156,6 +163,24 @@ def cv_linear(spark, sf_dir):
     return table
 
 
+@query(
+    "cv_one_feature",
+    f"""WITH r AS (SELECT o_totalprice AS y, o_custkey AS x, {_part_sql(1, 'o_orderkey', 5)} AS fold FROM orders),
+    fit AS (SELECT f, regr_slope(y, x) AS a, regr_intercept(y, x) AS b
+      FROM r, range(5) k(f) WHERE fold <> f GROUP BY f),
+    err AS (SELECT f, sqrt(avg((y - a * x - b) * (y - a * x - b))) AS e FROM r JOIN fit ON fold = f GROUP BY f)
+    SELECT 0.0e0 AS "regParam", round(avg(e), 2) + 0.0e0 AS metric, true AS best FROM err""",
+)
+def cv_one_feature(spark, sf_dir):
+    """Five-fold error of a line through the orders."""
+    rows = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_totalprice").alias("label")
+    )
+    folded = training.with_fold(training.assemble(["o_custkey"]).transform(rows), "o_orderkey", 5)
+    table, _ = training.cross_validate(folded, training.linear_regression(), {"regParam": [0.0]})
+    return rounded(table, ["metric"], 2)
+
+
 @query(
     "model_round_trip",
     """WITH f AS (SELECT regr_slope(o_totalprice, o_custkey) AS a, regr_intercept(o_totalprice, o_custkey) AS b FROM orders)
@@ -277,9 +302,9 @@ def vector_class_report(spark, sf_dir):
 
 @query(
     "score_vectors",
-    """WITH s AS (SELECT vec_id, list_sum(list_transform(embedding[1:20], x -> CAST(x AS DOUBLE))) AS a,
-        list_sum(list_transform(embedding[21:40], x -> CAST(x AS DOUBLE))) AS b,
-        list_sum(list_transform(embedding[41:60], x -> CAST(x AS DOUBLE))) AS c FROM embeddings)
+    """WITH s AS (SELECT vec_id, list_sum([CAST(x AS DOUBLE) FOR x IN embedding[1:20]]) AS a,
+        list_sum([CAST(x AS DOUBLE) FOR x IN embedding[21:40]]) AS b,
+        list_sum([CAST(x AS DOUBLE) FOR x IN embedding[41:60]]) AS c FROM embeddings)
     SELECT vec_id, CASE WHEN a >= b AND a >= c THEN 0 WHEN b >= c THEN 1 ELSE 2 END AS predicted,
       round(CAST(greatest(a, b, c) AS DOUBLE), 3) + 0.0e0 AS best FROM s""",
 )

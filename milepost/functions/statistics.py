@@ -73,10 +73,15 @@ def poisson_steps(limit: float = 2.0**-33) -> list[float]:
     return steps
 
 
-def uniform_from_md5(*parts: Column) -> Column:
-    """Uniform in [0, 1) from the first eight hex digits of md5; the same in any engine."""
+def number_from_md5(*parts: Column) -> Column:
+    """Whole number below 2^32 from the first eight hex digits of md5; the same in any engine."""
     digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+
+
+def uniform_from_md5(*parts: Column) -> Column:
+    """Uniform in [0, 1), the same in any engine."""
+    return number_from_md5(*parts).cast("double") / F.lit(4294967296.0)
 
 
 def uniform_from_hash(*parts: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from milepost.functions.statistics import number_from_md5
 from milepost.operators.ordered import exact_percentiles, join_null_safe
 from milepost.operators.profile import melt
 from milepost.operators.skew import lookup_join
@@ -39,7 +40,7 @@ def fill_text_nulls(df: DataFrame, marker: str) -> DataFrame:
 def sample_rows(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """``n`` random rows, the same ones for the same seed; a top-n, not a full sort."""
     return (
-        df.withColumn("__r", F.xxhash64(F.lit(seed), F.col(key)))
+        df.withColumn("__r", number_from_md5(F.lit(seed), F.col(key)))
         .orderBy("__r", key)
         .limit(n)
         .drop("__r")

@@ -27,16 +27,22 @@ def frequent_key_hashes(
     share: float = HOT_SHARE,
     types: Sequence[str] | None = None,
 ) -> list[int]:
-    """Hashes of all keys that hold more than ``share`` of the rows: at most ``1 / share`` values.
+    """Hashes of the keys that hold more than ``share`` of the rows: at most about ``1 / share``.
 
-    One pass with a mergeable frequent-items sketch: no shuffle of rows, memory bounded by
-    ``1 / share``. It may name a few keys too many, which costs a little replication and nothing
-    else.
+    One pass with the built-in mergeable top-k sketch: no shuffle of rows and bounded memory. The
+    counts are estimates; a key flagged wrongly costs a little replication and nothing else.
     """
     types = types or [dict(df.dtypes)[k] for k in keys]
-    hashed = df.select(_hash(keys, types).alias("h"))
-    found = hashed.freqItems(["h"], share).first()
-    return sorted(found[0]) if found and found[0] else []
+    most = round(1 / share)
+    found = (
+        df.select(_hash(keys, types).alias("h"))
+        .agg(
+            F.call_function("approx_top_k", F.col("h"), F.lit(most), F.lit(10 * most)).alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .first()
+    )
+    return sorted(r["item"] for r in found["top"] or [] if r["count"] > share * found["n"] + 1)
 
 
 def lookup_join(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from milepost.functions.scalars import arg_max
+from milepost.functions.statistics import number_from_md5
 from milepost.operators.evaluation import accuracy, rmse, roc_auc
 from milepost.operators.profile import union_all
 from milepost.operators.scratch import written
@@ -60,7 +61,7 @@ class Scaling:
 
 def hash_part(key: Column, seed: int, parts: int) -> Column:
     """Part number of a row from its key: the same on every run and in any task."""
-    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(parts)).cast("int")
+    return (number_from_md5(F.lit(seed), key) % parts).cast("int")
 
 
 def split(df: DataFrame, key: str, seed: int = 0, test_percent: int = 20) -> tuple[DataFrame, DataFrame]:
