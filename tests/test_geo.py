@@ -1,0 +1,195 @@
+import datetime as dt
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from milepost.functions.geo import EARTH_RADIUS_KM, Grid, haversine_km, local_time, zone_city
+from milepost.operators import visits
+from milepost.operators.nearest import nearest_place
+from milepost.operators.pairs import pairs_within
+from milepost.plans import geo_marts
+from milepost import schemas
+
+CITIES = [("Sydney", -33.865, 151.2094), ("Perth", -31.9522, 115.8589), ("Gold Coast", -28.0167, 153.4)]
+CITY_DDL = "city string, lat double, lng double"
+
+
+def km(a, b):
+    lat1, lon1, lat2, lon2 = map(math.radians, (*a, *b))
+    h = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * math.asin(min(1, math.sqrt(h)))
+
+
+def test_haversine_and_antipodes(spark):
+    rows = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0), (-33.9, 151.2, -31.9, 115.9)], "a double, b double, c double, d double")
+    got = [r[0] for r in rows.select(haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
+    assert got[0] == pytest.approx(math.pi * EARTH_RADIUS_KM)
+    assert got[1] == pytest.approx(km((-33.9, 151.2), (-31.9, 115.9)))
+
+
+def test_zone_fallback_and_local_time(spark):
+    rows = spark.createDataFrame([("Sydney",), ("Gold Coast",), (None,)], "city string")
+    out = rows.select(
+        "city", zone_city(F.col("city")).alias("z"),
+        local_time(F.lit("2024-01-01 00:00:00").cast("timestamp"), zone_city(F.col("city"))).cast("string").alias("t"),
+    ).collect()
+    got = {r["city"]: (r["z"], r["t"]) for r in out}
+    assert got["Sydney"] == ("Sydney", "2024-01-01 11:00:00")
+    assert got["Gold Coast"] == got[None] == ("Brisbane", "2024-01-01 10:00:00")
+
+
+@pytest.mark.parametrize("inline", [100, 0])
+def test_nearest_tie_goes_to_the_lower_name_and_null_has_no_city(spark, inline):
+    places = spark.createDataFrame([("B", 0.0, 1.0), ("A", 0.0, -1.0), ("C", 50.0, 50.0)], CITY_DDL)
+    events = spark.createDataFrame([(1, 0.0, 0.0), (2, 49.0, 49.0), (3, 0.0, None)], "id int, lat double, lon double")
+    got = {r["id"]: (r["city"], r["km"]) for r in nearest_place(events, places, inline_places=inline).collect()}
+    assert got[1][0] == "A" and got[2][0] == "C" and got[3] == (None, None)
+
+
+@pytest.mark.parametrize("inline", [100, 0])
+def test_nearest_equals_brute_force(spark, inline):
+    rng = random.Random(5)
+    point = lambda: (math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180))
+    places = [(f"p{i:03d}", *point()) for i in range(60)] + [("pole", 90.0, 0.0), ("date line", 0.0, 179.99)]
+    near_one = [(places[i % 60][1] + rng.uniform(-1, 1) * 0.3, places[i % 60][2]) for i in range(40)]
+    events = [(i, max(-90, min(90, la)), lo) for i, (la, lo) in enumerate([point() for _ in range(160)] + near_one)]
+    events += [(998, 89.9, -170.0), (999, 0.0, -179.99)]
+    got = nearest_place(
+        spark.createDataFrame(events, "id int, lat double, lon double"),
+        spark.createDataFrame(places, CITY_DDL), inline_places=inline,
+    ).collect()
+    assert len(got) == len(events)
+    for r in got:
+        want = min(km((r["lat"], r["lon"]), p[1:]) for p in places)
+        assert r["km"] == pytest.approx(want, abs=1e-6)
+
+
+def test_nearest_inline_does_not_shuffle_events(spark, plan):
+    events = spark.range(10).selectExpr("id", "double(id) as lat", "double(id) as lon")
+    text = plan(nearest_place(events, spark.createDataFrame(CITIES, CITY_DDL)))
+    assert "Exchange" not in text and "Join" not in text and "Cartesian" not in text
+
+
+def test_grid_covers_every_point_within_the_radius(spark):
+    rng = random.Random(3)
+    grid = Grid(1.0)
+    rows = []
+    for lat0 in (0.0, -33.87, 60.0, 85.0, 89.995, -89.999, 90.0):
+        for lon0 in (0.0, 151.2, 179.9999, -180.0):
+            for _ in range(12):
+                d, bearing = rng.uniform(0, 0.9999) / EARTH_RADIUS_KM, rng.uniform(0, 2 * math.pi)
+                la = math.radians(lat0)
+                lat = math.asin(max(-1, min(1, math.sin(la) * math.cos(d) + math.cos(la) * math.sin(d) * math.cos(bearing))))
+                lon = math.radians(lon0) + math.atan2(
+                    math.sin(bearing) * math.sin(d) * math.cos(la), math.cos(d) - math.sin(la) * math.sin(lat))
+                rows.append((lat0, lon0, math.degrees(lat), (math.degrees(lon) + 540) % 360 - 180))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    hit = F.array_contains(grid.covering(F.col("a"), F.col("b")), grid.cell(F.col("c"), F.col("d")))
+    assert df.where(~hit).count() == 0
+
+
+@pytest.mark.parametrize("block", [20_000, 3])
+def test_pairs_equal_brute_force_with_and_without_blocks(spark, block):
+    rng = random.Random(11)
+    people = [(i, f"c{i % 2}", -33.86 + rng.uniform(-0.02, 0.02), 151.2 + rng.uniform(-0.02, 0.02)) for i in range(80)]
+    people += [(100 + i, "c0", -33.86, 151.2) for i in range(30)]  # one crowded spot
+    people += [(200, "c0", 10.0, 179.9999), (201, "c0", 10.0, -179.9999), (202, "c0", 89.9999, 0.0), (203, "c0", 89.9999, 180.0)]
+    df = spark.createDataFrame(people, "id int, ch string, lat double, lon double")
+    got = {(r["id_left"], r["id_right"]) for r in pairs_within(df, 1.0, "ch", "id", rows_per_block=block).collect()}
+    want = {
+        (a[0], b[0]) for a in people for b in people
+        if a[0] < b[0] and a[1] == b[1] and km(a[2:], b[2:]) < 1.0
+    }
+    assert got == want and (200, 201) in want and (202, 203) in want
+
+
+def test_pairs_radius_edge(spark):
+    step = math.degrees(1 / EARTH_RADIUS_KM)
+    df = spark.createDataFrame(
+        [(1, "c", 0.0, 0.0), (2, "c", 0.999 * step, 0.0), (3, "c", -1.001 * step, 0.0)],
+        "id int, ch string, lat double, lon double",
+    )
+    assert [(r["id_left"], r["id_right"]) for r in pairs_within(df, 1.0, "ch", "id").collect()] == [(1, 2)]
+
+
+def test_pairs_plan_has_no_cross_join(spark, plan):
+    df = spark.createDataFrame([(1, "c", 0.0, 0.0)], "id int, ch string, lat double, lon double")
+    text = plan(pairs_within(df, 1.0, "ch", "id"))
+    assert "Cartesian" not in text and "NestedLoop" not in text and "EvalPython" not in text
+
+
+def day(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=n)
+
+
+def presence(spark, rows):
+    return spark.createDataFrame(rows, "user_id int, city string, day date")
+
+
+def test_streak_is_broken_by_a_gap_and_cities_are_separate(spark):
+    rows = [(1, "A", day(n)) for n in (0, 1, 3)] + [(1, "B", day(1))]
+    got = sorted((r["city"], r["first_day"], r["days"]) for r in visits.streaks(presence(spark, rows)).collect())
+    assert got == [("A", day(0), 2), ("A", day(3), 1), ("B", day(1), 1)]
+
+
+def test_a_b_a_is_three_visits(spark):
+    rows = [(1, "A", day(0)), (1, "B", day(2)), (1, "A", day(4)), (1, "A", day(6))]
+    got = visits.travel_summary(visits.visits(visits.streaks(presence(spark, rows)))).first()
+    assert (got["travel_count"], got["travel_array"]) == (3, "A,B,A")
+
+
+def test_home_needs_27_days_and_the_latest_wins(spark):
+    rows = [(1, "A", day(n)) for n in range(26)] + [(2, "A", day(n)) for n in range(27)]
+    rows += [(3, "A", day(n)) for n in range(27)] + [(3, "B", day(100 + n)) for n in range(30)]
+    got = {r["user_id"]: r["home_city"] for r in visits.home_cities(visits.streaks(presence(spark, rows))).collect()}
+    assert got == {2: "A", 3: "B"}
+
+
+def lake(spark, rows):
+    """Rows (from, to, id, datetime, channel, user, type, date, lat, lon)."""
+    return spark.createDataFrame([((f, t, i, d, c, u), k, da, la, lo) for f, t, i, d, c, u, k, da, la, lo in rows], schemas.EVENTS)
+
+
+def test_user_mart_without_a_home(spark):
+    at = (-33.865, 151.2094)
+    events = lake(spark, [
+        (7, None, 1, "2024-01-01 10:00:00", None, None, "message", day(0), *at),
+        (7, None, 2, "2024-01-01 11:00:00", None, None, "message", day(0), -31.95, 115.85),
+        (7, None, 3, "2024-01-01 12:00:00", None, None, "message", day(0), -31.95, None),
+    ])
+    row = geo_marts.user_geo_mart(events, spark.createDataFrame(CITIES, CITY_DDL)).first()
+    assert (row["act_city"], row["home_city"], row["travel_count"], row["travel_array"]) == ("Perth", None, 2, "Perth,Sydney")
+    assert str(row["local_time"]) == "2024-01-01 19:00:00"
+
+
+def test_week_across_a_month_end_keeps_the_whole_week(spark):
+    at = (-33.865, 151.2094)
+    rows = [(1, None, n, "2024-01-31 10:00:00", None, None, "message", d, *at)
+            for n, d in enumerate([dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 2)])]
+    rows.append((None, None, 9, "x", 1, 5, "subscription", dt.date(2024, 2, 2), *at))
+    rows.append((None, None, 10, "x", 1, None, "reaction", dt.date(2024, 2, 2), *at))
+    got = {str(r["month"]): r for r in geo_marts.zone_mart(lake(spark, rows), spark.createDataFrame(CITIES, CITY_DDL)).collect()}
+    assert set(got) == {"2024-01-01", "2024-02-01"}
+    for r in got.values():
+        assert (r["week_message"], r["week_subscription"], r["week_reaction"], r["week_user"]) == (3, 1, 1, 2)
+    assert (got["2024-01-01"]["month_message"], got["2024-02-01"]["month_message"]) == (1, 2)
+    assert (got["2024-01-01"]["month_user"], got["2024-02-01"]["month_user"]) == (1, 1)
+
+
+def test_recommendations_need_channel_distance_and_silence(spark):
+    at, near, far = (-33.865, 151.2094), (-33.866, 151.2094), (-33.95, 151.2094)
+    rows = [
+        (1, 50, 1, "2024-01-01 10:00:00", None, None, "message", day(0), *at),
+        (2, 50, 2, "2024-01-01 10:00:00", None, None, "message", day(0), *near),
+        (3, 50, 3, "2024-01-01 10:00:00", None, None, "message", day(0), *far),
+        (4, 50, 4, "2024-01-01 10:00:00", None, None, "message", day(0), *at),
+        (5, 1, 5, "2024-01-01 10:00:00", None, None, "message", day(0), *at),
+    ]
+    rows += [(None, None, 20 + u, "x", 1, u, "subscription", day(0), None, None) for u in (1, 2, 3, 5)]
+    rows += [(None, None, 30 + u, "x", 2, u, "subscription", day(0), None, None) for u in (4,)]
+    got = geo_marts.friend_recommendations(lake(spark, rows), spark.createDataFrame(CITIES, CITY_DDL)).collect()
+    # 1-5 talked, 3 is far, 4 shares no channel.
+    assert {(r["user_left"], r["user_right"]) for r in got} == {(1, 2), (2, 1), (2, 5), (5, 2)}
+    assert all(r["zone_id"] == "Sydney" for r in got)
