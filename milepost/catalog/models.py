@@ -73,59 +73,37 @@ def linear_regression_rmse(spark, sf_dir):
     return rounded(out, ["rmse", "mean_prediction"], 3)
 
 
-def _car_spec(models):
-    return training.Spec(
-        key="advert_id",
-        label="price",
-        numeric=["registrationyear", "power", "kilometer", "registrationmonth"],
-        categories=cars.CATEGORIES,
-        scale=["registrationyear", "power", "kilometer", "registrationmonth"],
-        models=models,
-    )
-
-
 @query("price_model_comparison")
 def price_model_comparison(spark, sf_dir):
     """Linear, forest and boosted regression on the cleaned adverts."""
     adverts = cars.clean_adverts(derive.adverts(spark, sf_dir))
     table, _ = training.train_compare(
         adverts,
-        _car_spec(
+        cars.price_spec(
+            "advert_id",
             {
                 "linear": training.linear_regression(),
                 "forest": training.forest_regressor(trees=10, depth=5),
                 "boosted": training.boosted_regressor(iterations=5, depth=4),
-            }
+            },
         ),
     )
     return table
 
 
-def _churn_spec(models):
-    return training.Spec(
-        key="customerID",
-        label="is_active",
-        numeric=["MonthlyCharges", "TotalCharges", "DaysInside"],
-        categories=["gender", "Partner", "Dependents", "Type", "PaperlessBilling", "PaymentMethod",
-                    "Day", "InternetService", "TechSupport", "MultipleLines"],
-        task="classification",
-        scale=["MonthlyCharges", "TotalCharges", "DaysInside"],
-        models=models,
-    )
-
-
 @query("churn_model_comparison")
 def churn_model_comparison(spark, sf_dir):
     """Logistic, forest and boosted classification on the customer view."""
     view = customers.customer_view(*derive.telecom(spark, sf_dir))
     table, _ = training.train_compare(
         view,
-        _churn_spec(
+        customers.churn_spec(
+            view,
             {
                 "logistic": training.logistic_regression(view.count()),
                 "forest": training.forest_classifier(trees=10, depth=6),
                 "boosted": training.boosted_classifier(iterations=5, depth=4),
-            }
+            },
         ),
     )
     return table
@@ -134,7 +112,7 @@ def churn_model_comparison(spark, sf_dir):
 @query("churn_importance")
 def churn_importance(spark, sf_dir):
     view = customers.customer_view(*derive.telecom(spark, sf_dir))
-    spec = _churn_spec({})
+    spec = customers.churn_spec(view, {})
     data = training.prepare(view, spec)
     model = training.forest_classifier(trees=10, depth=6).fit(data.train)
     return training.feature_importance(spark, model, data.features)
@@ -144,7 +122,7 @@ def churn_importance(spark, sf_dir):
 def cv_grid(spark, sf_dir):
     """Three-fold grid search over trees and depth."""
     view = customers.customer_view(*derive.telecom(spark, sf_dir))
-    spec = _churn_spec({})
+    spec = customers.churn_spec(view, {})
     train = training.with_fold(training.prepare(view, spec).train, spec.key, 3)
     table, _ = training.cross_validate(
         train, training.forest_classifier(), {"numTrees": [3, 6], "maxDepth": [2, 4]},
@@ -157,7 +135,7 @@ def cv_grid(spark, sf_dir):
 def cv_linear(spark, sf_dir):
     """Five-fold error of the linear price model."""
     adverts = cars.clean_adverts(derive.adverts(spark, sf_dir))
-    spec = _car_spec({})
+    spec = cars.price_spec("advert_id", {})
     train = training.with_fold(training.prepare(adverts, spec).train, spec.key, 5)
     table, _ = training.cross_validate(train, training.linear_regression(), {"regParam": [0.0]})
     return table

@@ -14,7 +14,6 @@ from milepost.functions.statistics import (
     uniform_from_md5,
 )
 from milepost.operators.ordered import exact_percentiles
-from milepost.operators.profile import melt
 
 
 def user_rollup(
@@ -35,18 +34,22 @@ def cohort_moments(
 ) -> DataFrame:
     """One row per metric with n, mean, sample variance and total of cohorts ``a`` and ``b``.
 
-    All metrics share one aggregation of at most metrics x cohorts rows per task.
+    All metrics share one pass that leaves two rows per task; only those are stacked.
     """
-    long = melt(users.where(F.col(cohort).isin(a, b)), metrics, [cohort], "metric")
-    per = long.groupBy("metric", cohort).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.var_samp("value").alias("var"),
-        F.sum("value").alias("total"),
-    )
+    def summary(metric: str) -> Column:
+        x = F.col(metric).cast("double")
+        return F.struct(
+            F.count(x).alias("n"),
+            F.avg(x).alias("mean"),
+            F.var_samp(x).alias("var"),
+            F.sum(x).alias("total"),
+        ).alias(metric)
+
+    wide = users.where(F.col(cohort).isin(a, b)).groupBy(cohort).agg(*[summary(m) for m in metrics])
+    per = wide.unpivot([cohort], list(metrics), "metric", "s")
     side = {"a": F.col(cohort) == F.lit(a), "b": F.col(cohort) == F.lit(b)}
     return per.groupBy("metric").agg(*[
-        F.max(F.when(cond, F.col(c))).alias(f"{c}_{s}")
+        F.max(F.when(cond, F.col(f"s.{c}"))).alias(f"{c}_{s}")
         for s, cond in side.items()
         for c in ("n", "mean", "var", "total")
     ])
@@ -166,16 +169,9 @@ def ab_report(
         "p_value",
         (F.col("p_value") < F.lit(alpha)).alias("significant"),
     )
-    intervals = None
+    interval = F.lit(None).cast("struct<ci_low: double, ci_high: double>")
     for metric, replicates in (bootstrap or {}).items():
         draws = bootstrap_differences(users, user, cohort, metric, a, b, replicates, weights)
-        one = bootstrap_interval(draws, 1 - alpha).withColumn("metric", F.lit(metric))
-        intervals = one if intervals is None else intervals.unionByName(one)
-    if intervals is None:
-        none = F.lit(None).cast("double")
-        return report.withColumns({"ci_low": none, "ci_high": none})
-    return report.join(intervals, "metric", "left")
-
-
-def median_by_cohort(users: DataFrame, cohort: str, metric: str) -> DataFrame:
-    return exact_percentiles(users, metric, [0.5], [cohort])
+        found = bootstrap_interval(draws, 1 - alpha).select(F.struct("ci_low", "ci_high")).scalar()
+        interval = F.when(F.col("metric") == metric, found).otherwise(interval)
+    return report.withColumn("ci", interval).select("*", "ci.ci_low", "ci.ci_high").drop("ci")

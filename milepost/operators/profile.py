@@ -21,14 +21,19 @@ def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), name:
 
 def describe(df: DataFrame, columns: Sequence[str], buckets: int = 256) -> DataFrame:
     """Rows (column, n, mean, std, min, q25, q50, q75, max) with exact quartiles."""
+    def summary(column: str) -> Column:
+        x = F.col(column).cast("double")
+        return F.struct(
+            F.count(x).alias("n"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
+        ).alias(column)
+
+    wide = df.agg(*[summary(c) for c in columns])
+    moments = wide.unpivot([], list(columns), "column", "s").select("column", "s.*")
     long = melt(df, columns)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
     quartiles = (
         exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"], buckets)
         .groupBy("column")

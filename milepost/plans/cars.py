@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.scalars import lenient_timestamp
 from milepost.operators.prepare import drop_value, impute_by_group, keep_between, lower_case_columns
 from milepost.operators.scratch import written
+from milepost.plans.training import Spec
 
 DATE_COLUMNS = ("datecreated", "datecrawled", "lastseen")
 UNUSED = (*DATE_COLUMNS, "numberofpictures", "postalcode")
 CATEGORIES = ("vehicletype", "gearbox", "model", "fueltype", "brand", "notrepaired")
 
+NUMBERS = ("registrationyear", "power", "kilometer", "registrationmonth")
+
 # Sound registration years, engine power limit, hand-set medians of two groups.
 YEARS = (1980, 2016)
 POWER_BELOW = 1000
@@ -50,3 +56,15 @@ def clean_adverts(adverts: DataFrame) -> DataFrame:
         whole_numbers=True,
     )
     return rows.fillna({"notrepaired": "no"})
+
+
+def price_spec(key: str, models: Mapping[str, Estimator]) -> Spec:
+    """What to train on the cleaned adverts, which need a key column for the split."""
+    return Spec(
+        key=key,
+        label="price",
+        numeric=NUMBERS,
+        categories=CATEGORIES,
+        scale=NUMBERS,
+        models=models,
+    )

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.ml import Estimator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.scalars import lenient_double, parse_date, weekday_name
 from milepost.operators.prepare import fill_text_nulls, full_outer
+from milepost.plans.training import Spec
 
 # The marker of an open contract or an absent service, and the data cut-off date.
 OPEN = ABSENT = "No"
 CUT_OFF = "2020-02-01"
 
+NUMBERS = ("MonthlyCharges", "TotalCharges", "DaysInside")
+CATEGORIES = (
+    "gender", "Partner", "Dependents", "Type", "PaperlessBilling", "PaymentMethod", "Day",
+    "InternetService", "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
+    "StreamingTV", "StreamingMovies", "MultipleLines",
+)
+
 
 def _day(text: Column) -> Column:
     """Date of ``2020-02-01`` or ``2020-02-01 00:00:00``."""
@@ -61,6 +72,15 @@ def with_service(view: DataFrame, service: str) -> DataFrame:
     return view.where(F.col(service) != ABSENT)
 
 
-def model_columns(view: DataFrame) -> DataFrame:
-    """Without the id and the calendar columns that would leak time into a classifier."""
-    return view.drop("customerID", "Year", "Month")
+def churn_spec(view: DataFrame, models: Mapping[str, Estimator]) -> Spec:
+    """What to train on the view: no calendar columns, which would leak time, and no id among the
+    features; the services the view has."""
+    return Spec(
+        key="customerID",
+        label="is_active",
+        numeric=NUMBERS,
+        categories=[c for c in CATEGORIES if c in view.columns],
+        task="classification",
+        scale=NUMBERS,
+        models=models,
+    )

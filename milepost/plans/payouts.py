@@ -35,24 +35,21 @@ FEE_SHARE = Decimal("0.25")
 REWARD_SHARE = Decimal("0.95")
 
 
-def _by_band(rate: Column, bands: Sequence[Band], value) -> Column:
-    """First band that the rating falls into; a null rating falls into none."""
-    picked = F.when(rate.isNull(), F.lit(None))
+def payout(amount: Column, rate: Column, bands: Sequence[Band] = BANDS) -> Column:
+    """Share of the order sum by rating band, or the band's minimum where that is larger.
+
+    The first band that fits applies; a null rating fits none and pays null.
+    """
+    paid = F.when(rate.isNull(), F.lit(None))
     for band in bands:
         if band.upper is None:
-            condition = rate.isNotNull()
+            fits = rate.isNotNull()
         else:
             edge = F.lit(band.upper)
-            condition = rate <= edge if band.included else rate < edge
-        picked = picked.when(condition, value(band))
-    return picked
-
-
-def payout(amount: Column, rate: Column, bands: Sequence[Band] = BANDS) -> Column:
-    """Share of the order sum by rating band, or the band's minimum where that is larger."""
-    share = _by_band(rate, bands, lambda b: amount * F.lit(b.share))
-    minimum = _by_band(rate, bands, lambda b: F.lit(b.minimum).cast("decimal(14,2)"))
-    return larger_of(share, minimum)
+            fits = rate <= edge if band.included else rate < edge
+        minimum = F.lit(band.minimum).cast("decimal(14,2)")
+        paid = paid.when(fits, larger_of(amount * F.lit(band.share), minimum))
+    return paid
 
 
 def courier_ledger(

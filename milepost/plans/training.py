@@ -27,6 +27,29 @@ from milepost.operators.profile import union_all
 from milepost.operators.scratch import written
 
 
+# The grids searched for the two forests.
+PRICE_FOREST_GRID = {"numTrees": list(range(35, 50, 5)), "maxDepth": list(range(5, 10))}
+CHURN_FOREST_GRID = {"numTrees": list(range(1, 100, 5)), "maxDepth": list(range(1, 20, 5))}
+
+
+def price_models() -> dict[str, Estimator]:
+    """The three regressors compared on prices."""
+    return {
+        "linear": linear_regression(),
+        "forest": forest_regressor(),
+        "boosted": boosted_regressor(),
+    }
+
+
+def churn_models(rows: int) -> dict[str, Estimator]:
+    """The three classifiers compared on churn."""
+    return {
+        "logistic": logistic_regression(rows),
+        "forest": forest_classifier(),
+        "boosted": boosted_classifier(),
+    }
+
+
 def ordinal_encoder(columns: Sequence[str], suffix: str = "_code") -> StringIndexer:
     """Code = rank of the value in sorted order; unseen values and nulls get the next code."""
     return StringIndexer(

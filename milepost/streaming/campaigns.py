@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from milepost import schemas
 from milepost.functions.scalars import hash_key
+from milepost.sources import jdbc, kafka
 
 WATERMARK = "60 minutes"
 SALTS = 16
@@ -126,6 +127,30 @@ def parquet_sink(path: str) -> Sink:
     return write
 
 
+def jdbc_sink(options: Mapping[str, str], table: str) -> Sink:
+    """Append the rows of a batch that the table does not hold yet.
+
+    A repeated batch finds its own rows by ``batch_id`` and adds only what an earlier, broken attempt
+    left out.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = f"(SELECT message_key FROM {table} WHERE batch_id = {int(batch_id)}) own_rows"
+        known = jdbc.read_table(batch.sparkSession, options, own)
+        jdbc.append_table(batch.join(known, "message_key", "left_anti"), options, table)
+
+    return write
+
+
+def kafka_sink(options: Mapping[str, str], topic: str) -> Sink:
+    """Send a batch to a topic, at least once; readers drop repeats by the five keys."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kafka.write_topic(batch, options, topic)
+
+    return write
+
+
 def start(
     messages: DataFrame,
     write: Sink,
