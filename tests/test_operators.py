@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from milepost import schemas
 from milepost.functions import scalars
 from milepost.functions.statistics import poisson_steps, poisson_weight, student_p_value, uniform_from_hash
 from milepost.operators import evaluation, experiment, prepare, profile, quality
@@ -204,6 +205,22 @@ def test_payout_bands(spark, rate, amount, want):
     assert got == (None if want is None else Decimal(want))
 
 
+def test_ledger_keeps_the_contract(spark):
+    deliveries = spark.createDataFrame(
+        [("o1", 1, 5, Decimal("4.0"), Decimal("1000.00"), Decimal("10.00")), ("o2", 1, 5, Decimal("5.0"), Decimal("100.00"), Decimal("0.00")),
+         ("o3", 9, 5, Decimal("5.0"), Decimal("1.00"), Decimal("0.00")), ("o4", 1, 6, None, Decimal("100.00"), Decimal("0.00"))],
+        "order_id string, courier_id bigint, timestamp_id bigint, rate decimal(3,1), sum decimal(14,2), tip_sum decimal(14,2)")
+    couriers = spark.createDataFrame([(1, "c1", "Ann")], schemas.COURIERS)
+    stamps = spark.createDataFrame([(5, 2024, 1), (6, 2024, 2)], "id bigint, year smallint, month smallint")
+    ledger = payouts.courier_ledger(deliveries, couriers, stamps)
+    assert ", ".join(f"{c} {t}" for c, t in ledger.dtypes) == schemas.COURIER_LEDGER
+    got = {r["settlement_month"]: r for r in ledger.collect()}
+    row = got[1]
+    assert (row["courier_name"], row["orders_count"], row["orders_total_sum"], row["rate_avg"]) == ("Ann", 2, Decimal("1100.00"), Decimal("4.50"))
+    assert (row["order_processing_fee"], row["courier_order_sum"], row["courier_reward_sum"]) == (Decimal("275.00"), Decimal("350.00"), Decimal("342.00"))
+    assert got[2]["rate_avg"] is None and got[2]["courier_order_sum"] is None
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([("1,5", " ", "2020-02-01"), ("x", "2.5", "bad")], "a string, b string, c string")
     out = df.select(scalars.decimal_comma(F.col("a")), scalars.lenient_double(F.col("b")), scalars.parse_date(F.col("c")).cast("string")).collect()
