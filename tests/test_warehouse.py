@@ -125,6 +125,12 @@ def test_scratch_is_the_named_folder(spark):
     assert new_path(spark, "x").startswith(folder.rstrip("/"))
     assert written(spark.range(3).toDF("id"), "rows").count() == 3
 
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    assert shared_folder(Unset) == shared_folder(Unset) != ""
+
 
 class Recorder:
     """Stands in for a reader or writer and notes what it is told."""
