@@ -51,11 +51,12 @@ def group_modes(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> D
     """Most frequent non-null value of each column per key group; the lowest wins a tie.
 
     Values are counted first, spread over (group, value), so a crowded group arrives at its final
-    task as one row per value and task.
+    task as one row per value and task. Columns of different types are compared as text.
     """
-    long = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        list(keys), list(columns), "__column", "__value"
-    )
+    kinds = dict(df.dtypes)
+    kind = kinds[columns[0]] if len({kinds[c] for c in columns}) == 1 else "string"
+    rows = F.array(*[F.struct(F.lit(c), F.col(c).cast(kind)) for c in columns])
+    long = df.select(*keys, F.inline(rows).alias("__column", "__value"))
     counts = (
         long.where(F.col("__value").isNotNull())
         .groupBy(*keys, "__column", "__value")

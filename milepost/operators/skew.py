@@ -64,6 +64,8 @@ def lookup_join(
     ``hot`` takes key hashes found earlier for keys of the same types and saves the detection pass;
     ``[]`` turns salting off.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a salted lookup cannot be a {how} join: it would repeat dimension rows")
     keys = list(keys)
     types = _common_types(fact, dim, keys)
     if hot is None:

@@ -48,8 +48,8 @@ def test_nearest_tie_goes_to_the_lower_name_and_null_has_no_city(spark, inline):
     assert got[1][0] == "A" and got[2][0] == "C" and got[3] == (None, None)
 
 
-@pytest.mark.parametrize("inline", [100, 0])
-def test_nearest_equals_brute_force(spark, inline):
+@pytest.mark.parametrize("inline, cell", [(100, 50.0), (0, 50.0), (0, 700.0)])
+def test_nearest_equals_brute_force(spark, inline, cell):
     rng = random.Random(5)
     point = lambda: (math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180))
     places = [(f"p{i:03d}", *point()) for i in range(60)] + [("pole", 90.0, 0.0), ("date line", 0.0, 179.99)]
@@ -58,7 +58,7 @@ def test_nearest_equals_brute_force(spark, inline):
     events += [(998, 89.9, -170.0), (999, 0.0, -179.99)]
     got = nearest_place(
         spark.createDataFrame(events, "id int, lat double, lon double"),
-        spark.createDataFrame(places, CITY_DDL), inline_places=inline,
+        spark.createDataFrame(places, CITY_DDL), inline_places=inline, cell_km=cell,
     ).collect()
     assert len(got) == len(events)
     for r in got:

@@ -131,6 +131,17 @@ def test_modes_ties_and_all_null_group(spark):
         [("a", "x"), ("a", "y"), ("a", "x"), ("b", "None"), ("c", "z"), ("None", "q"), ("None", "q")])
 
 
+def test_numeric_modes_tie_by_number(spark):
+    df = spark.createDataFrame([("a", 10, "x"), ("a", 9, "x")], "k string, v int, w string")
+    assert prepare.group_modes(df, ["v"], ["k"]).first()["v"] == 9
+    assert tuple(prepare.group_modes(df, ["v", "w"], ["k"]).first()) == ("a", "10", "x")
+
+
+def test_salted_lookup_refuses_to_repeat_the_dimension(spark):
+    with pytest.raises(ValueError):
+        lookup_join(spark.range(2), spark.range(2), ["id"], "full")
+
+
 def test_clean_adverts(spark):
     columns = ["Price", "VehicleType", "RegistrationYear", "Gearbox", "Power", "Model", "Kilometer", "RegistrationMonth", "FuelType", "Brand", "NotRepaired"]
     rows = [
