@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import matrices, packing
+from milepost.llm import decontaminate, matrices, packing, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +34,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_matrices")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrices.pack_matrices(table(spark, sf_dir, "documents"))
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_simhash_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
