@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import decontaminate, matrices, packing, quality, simhash
+from milepost.llm import decontaminate, lines, matrices, packing, quality, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_line_dedup", lines.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.without_boilerplate(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op7_url_filters", urls.oracle())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = urls.rule_table(spark, urls.RULES, urls.BLOCKED_SITES)
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
