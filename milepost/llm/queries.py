@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import decontaminate, lines, matrices, packing, quality, simhash, urls
+from milepost.llm import decontaminate, licenses, lines, matrices, packing, quality, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = urls.rule_table(spark, urls.RULES, urls.BLOCKED_SITES)
     return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op2_license_scans")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
