@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import decontaminate, licenses, lines, matrices, packing, quality, simhash, urls
+from milepost.llm import decontaminate, language, licenses, lines, matrices, packing, quality, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scans")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = language.train(docs.where(~language.held_out("doc_id")))
+    return language.identify(docs, filters).withColumn("held_out", language.held_out("doc_id"))
