@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import decontaminate, language, licenses, lines, matrices, packing, quality, simhash, urls
+from milepost.llm import decontaminate, language, licenses, lines, matrices, packing, pii, quality, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     filters = language.train(docs.where(~language.held_out("doc_id")))
     return language.identify(docs, filters).withColumn("held_out", language.held_out("doc_id"))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.fit(docs))

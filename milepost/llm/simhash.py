@@ -45,17 +45,21 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > len(cuts), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint bigint) of every row; null or blank texts have fingerprint 0."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, fingerprint bigint) and the columns of ``keep`` of every row; null or blank texts have fingerprint 0."""
     def mapped(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             prints = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fingerprint"])
+            columns = [batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fingerprint", *keep])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(mapped, "doc_id bigint, fingerprint bigint")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *keep)
+    kept = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(mapped, "doc_id bigint, fingerprint bigint" + kept)
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -108,6 +112,17 @@ def links(prints: DataFrame, distance: int = 4) -> DataFrame:
     return kept.select(F.col("other").alias("a"), F.col("fingerprint").alias("b"))
 
 
+def _named(rows: DataFrame, distance: int) -> DataFrame:
+    """(fingerprint, root, least): the component of each different fingerprint of ``rows`` and its smallest id."""
+    classes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
+    joined = components(links(classes.select("fingerprint"), distance))
+    rooted = classes.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "id", F.coalesce("root", "fingerprint").alias("root")
+    )
+    names = rooted.groupBy("root").agg(F.min("id").alias("least"))
+    return rooted.join(names, "root").select("fingerprint", "root", "least")
+
+
 def near_duplicates(
     docs: DataFrame, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -118,12 +133,22 @@ def near_duplicates(
     repeated; other columns are not read; an empty table gives no rows.
     """
     rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    joined = components(links(classes.select("fingerprint"), distance))
-    rooted = classes.join(joined.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fingerprint", "component_id")
     hexed = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
-    return rows.join(named, "fingerprint").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return rows.join(_named(rows, distance), "fingerprint").select(
+        "doc_id", hexed.alias("fingerprint"), F.col("least").alias("component_id")
+    )
+
+
+def one_of_each(
+    docs: DataFrame, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` with all columns, one for each component: the smallest id (null is largest), then the smallest hash of the text."""
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select(
+        "row", F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("")).alias("id_key"), F.xxhash64(f"row.`{text_col}`").alias("body")
+    )
+    plain = keyed.select("id_key", "body", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").alias("text"))
+    rows = written(fingerprints(plain, shingle, keep=("id_key", "body")), "fingerprints")
+    choice = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body", "id_key"))
+    kept = rows.join(_named(rows, distance), "fingerprint").groupBy("root").agg(choice.alias("kept"))
+    names = kept.select("kept.id_key", "kept.body")
+    return keyed.join(names, ["id_key", "body"]).dropDuplicates(["id_key", "body"]).select("row.*")
