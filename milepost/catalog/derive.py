@@ -271,7 +271,12 @@ personal AS (
 internet AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customerID,
     CASE WHEN c_custkey % 4 < 2 THEN 'DSL' ELSE 'Fiber optic' END AS InternetService,
-    CASE WHEN c_custkey % 8 < 3 THEN 'Yes' ELSE 'No' END AS TechSupport
+    CASE WHEN c_custkey % 8 < 3 THEN 'Yes' ELSE 'No' END AS TechSupport,
+    CASE WHEN c_custkey % 7 < 3 THEN 'Yes' ELSE 'No' END AS OnlineSecurity,
+    CASE WHEN c_custkey % 6 < 2 THEN 'Yes' ELSE 'No' END AS OnlineBackup,
+    CASE WHEN c_custkey % 10 < 5 THEN 'Yes' ELSE 'No' END AS DeviceProtection,
+    CASE WHEN c_custkey % 12 < 5 THEN 'Yes' ELSE 'No' END AS StreamingTV,
+    CASE WHEN c_custkey % 14 < 6 THEN 'Yes' ELSE 'No' END AS StreamingMovies
   FROM customer WHERE c_custkey % 5 <> 0
 ),
 phone AS (
@@ -290,6 +295,7 @@ view_ AS (
     CAST(coalesce(end_day, DATE '2020-02-01') - begin_day AS INTEGER) AS DaysInside,
     CASE WHEN end_day IS NULL THEN 1 ELSE 0 END AS is_active,
     coalesce(InternetService, 'No') AS InternetService, coalesce(TechSupport, 'No') AS TechSupport,
+    coalesce(OnlineSecurity, 'No') AS OnlineSecurity, coalesce(OnlineBackup, 'No') AS OnlineBackup, coalesce(DeviceProtection, 'No') AS DeviceProtection, coalesce(StreamingTV, 'No') AS StreamingTV, coalesce(StreamingMovies, 'No') AS StreamingMovies,
     coalesce(MultipleLines, 'No') AS MultipleLines
   FROM personal p FULL JOIN contract c ON p.customerID = c.customerID
     FULL JOIN internet i ON coalesce(p.customerID, c.customerID) = i.customerID
@@ -330,6 +336,11 @@ def telecom(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         key,
         F.when(k % 4 < 2, "DSL").otherwise("Fiber optic").alias("InternetService"),
         yes_no(k % 8 < 3).alias("TechSupport"),
+        yes_no(k % 7 < 3).alias("OnlineSecurity"),
+        yes_no(k % 6 < 2).alias("OnlineBackup"),
+        yes_no(k % 10 < 5).alias("DeviceProtection"),
+        yes_no(k % 12 < 5).alias("StreamingTV"),
+        yes_no(k % 14 < 6).alias("StreamingMovies"),
     )
     phone = base.where(k % 3 != 0).select(key, yes_no(k % 9 < 4).alias("MultipleLines"))
     return contract, personal, internet, phone

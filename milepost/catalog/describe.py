@@ -96,9 +96,11 @@ def dup_count(spark, sf_dir):
 @query(
     "histogram",
     """WITH e AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 20 AS w FROM orders)
-    SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 4) + 0.0e0 AS lower,
-      round(lo + (bin + 1) * w, 4) + 0.0e0 AS upper, count(*) AS n
-    FROM (SELECT least(floor((o_totalprice - lo) / w), 19) AS bin, lo, w FROM orders, e) GROUP BY bin, lo, w""",
+    SELECT CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 4) + 0.0e0 AS lower,
+      round(lo + (b.bin + 1) * w, 4) + 0.0e0 AS upper, count(f.bin) AS n
+    FROM range(20) b(bin) CROSS JOIN e
+      LEFT JOIN (SELECT least(floor((o_totalprice - lo) / w), 19) AS bin FROM orders, e) f ON f.bin = b.bin
+    GROUP BY b.bin, lo, w""",
 )
 def histogram(spark, sf_dir):
     out = profile.histogram(load(spark, sf_dir, "orders"), "o_totalprice", bins=20)
@@ -107,9 +109,11 @@ def histogram(spark, sf_dir):
 
 @query(
     "histogram_in_range",
-    """SELECT CAST(bin AS INTEGER) AS bin, 4.0e0 * bin AS lower, 4.0e0 * (bin + 1) AS upper, count(*) AS n
-    FROM (SELECT least(floor(l_quantity / 4), 9) AS bin FROM lineitem WHERE l_quantity BETWEEN 0 AND 40)
-    GROUP BY bin""",
+    """SELECT CAST(b.bin AS INTEGER) AS bin, 4.0e0 * b.bin AS lower, 4.0e0 * (b.bin + 1) AS upper, count(f.bin) AS n
+    FROM range(10) b(bin)
+      LEFT JOIN (SELECT least(floor(l_quantity / 4), 9) AS bin FROM lineitem WHERE l_quantity BETWEEN 0 AND 40) f
+      ON f.bin = b.bin
+    GROUP BY b.bin""",
 )
 def histogram_in_range(spark, sf_dir):
     return profile.histogram(load(spark, sf_dir, "lineitem"), "l_quantity", bins=10, low=0, high=40)

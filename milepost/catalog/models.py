@@ -94,7 +94,7 @@ def price_model_comparison(spark, sf_dir):
 @query("churn_model_comparison")
 def churn_model_comparison(spark, sf_dir):
     """Logistic, forest and boosted classification on the customer view."""
-    view = customers.customer_view(*derive.telecom(spark, sf_dir))
+    view = customers.model_rows(customers.customer_view(*derive.telecom(spark, sf_dir)))
     table, _ = training.train_compare(
         view,
         customers.churn_spec(
@@ -111,7 +111,7 @@ def churn_model_comparison(spark, sf_dir):
 
 @query("churn_importance")
 def churn_importance(spark, sf_dir):
-    view = customers.customer_view(*derive.telecom(spark, sf_dir))
+    view = customers.model_rows(customers.customer_view(*derive.telecom(spark, sf_dir)))
     spec = customers.churn_spec(view, {})
     data = training.prepare(view, spec)
     model = training.forest_classifier(trees=10, depth=6).fit(data.train)
@@ -121,7 +121,7 @@ def churn_importance(spark, sf_dir):
 @query("cv_grid")
 def cv_grid(spark, sf_dir):
     """Three-fold grid search over trees and depth."""
-    view = customers.customer_view(*derive.telecom(spark, sf_dir))
+    view = customers.model_rows(customers.customer_view(*derive.telecom(spark, sf_dir)))
     spec = customers.churn_spec(view, {})
     train = training.with_fold(training.prepare(view, spec).train, spec.key, 3)
     table, _ = training.cross_validate(

@@ -214,10 +214,11 @@ _ADVERT_SQL = f"""raw AS (
     CASE WHEN p_partkey % 6 <> 0 THEN CASE WHEN p_partkey % 8 = 1 THEN 'yes' ELSE 'no' END ELSE 'no' END AS notrepaired
   FROM part
 ),
-kept AS (SELECT * FROM raw WHERE price <> 0 AND registrationyear BETWEEN 1980 AND 2016 AND power < 1000),
+kept AS (SELECT * FROM raw WHERE price <> 0 AND registrationyear BETWEEN 1980 AND 2016),
 named AS (SELECT k.* REPLACE (coalesce(model, top) AS model)
   FROM kept k LEFT JOIN {_mode_sql('model', 'brand', 'kept')} m ON k.brand = m.brand),
-med AS (SELECT brand, model, trunc(quantile_cont(power, 0.5)) AS med FROM named GROUP BY brand, model)"""
+sound AS (SELECT * FROM named WHERE power < 1000),
+med AS (SELECT brand, model, trunc(quantile_cont(power, 0.5)) AS med FROM sound GROUP BY brand, model)"""
 
 
 @query(
@@ -225,10 +226,10 @@ med AS (SELECT brand, model, trunc(quantile_cont(power, 0.5)) AS med FROM named
     f"""WITH {_ADVERT_SQL}
     SELECT n.* REPLACE (coalesce(vehicletype, v.top) AS vehicletype, coalesce(gearbox, g.top) AS gearbox,
       coalesce(fueltype, f.top) AS fueltype, CASE WHEN power = 0 THEN med ELSE power END AS power)
-    FROM named n
+    FROM sound n
       LEFT JOIN {_mode_sql('vehicletype', 'brand, model', 'named')} v ON n.brand = v.brand AND n.model = v.model
       LEFT JOIN {_mode_sql('gearbox', 'brand, model', 'named')} g ON n.brand = g.brand AND n.model = g.model
-      LEFT JOIN {_mode_sql('fueltype', 'brand, model', 'named')} f ON n.brand = f.brand AND n.model = f.model
+      LEFT JOIN {_mode_sql('fueltype', 'brand, model', 'sound')} f ON n.brand = f.brand AND n.model = f.model
       LEFT JOIN med ON n.brand = med.brand AND n.model = med.model""",
 )
 def car_adverts(spark, sf_dir):

@@ -1,9 +1,10 @@
 """Exact order statistics without sorting a whole group, or the whole table, in one task.
 
-Values are cut into quantile buckets whose edges are estimated once over all rows. No bucket holds
-much more than ``rows / BUCKETS`` rows, whatever the group, so a group that owns most of the table is
-still spread over most of the buckets. The edges only decide where the work happens, so a sample
-serves for them; ranks and sums count every row.
+Rows are counted per (group, value) first and these counts are written out, so the input is read once
+however often they are used. The values are cut into quantile buckets; there are as many buckets as the
+counts ask for, so a group that owns most of the table is still spread over most of them. The edges only
+decide where the work happens, so a sample of a fixed number of rows per bucket serves for them; ranks
+and sums count every row.
 """
 
 from __future__ import annotations
@@ -15,19 +16,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-BUCKETS = 256
-EDGE_SAMPLE = 0.01
+from milepost.operators.scratch import written
 
+#: Counted values that one bucket should hold, and sampled rows for each edge.
+BUCKET_ROWS = 500_000
+EDGE_ROWS = 200
 
-def with_bucket(df: DataFrame, value: str, buckets: int = BUCKETS) -> DataFrame:
+
+def with_bucket(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """Add ``bucket``, a non-decreasing function of the numeric column ``value``.
 
-    The edges come from one mergeable sketch of a sample and are a plain list, so both uses of the
-    frame see the same cut.
+    ``df`` is read three times: pass a written table. Without ``buckets`` its rows decide their number. The edges come
+    from one mergeable sketch of a sample and are a plain list, so all uses of the frame see the same cut.
     """
     number = F.col(value).cast("double")
+    rows = df.count()
+    buckets = buckets or max(8, -(-rows // BUCKET_ROWS))
     shares = [i / buckets for i in range(1, buckets)]
-    sample = df.sample(EDGE_SAMPLE, seed=1)
+    part = EDGE_ROWS * buckets / max(rows, 1)
+    sample = df.sample(part, seed=1) if part < 1 else df
     row = sample.agg(F.percentile_approx(number, shares, 4 * buckets).alias("edges")).first()
     edges = sorted({e for e in (row["edges"] or []) if e == e and abs(e) != float("inf")})
     inf = float("inf")
@@ -50,18 +57,15 @@ def running_totals(
     sums: Sequence[str],
     keys: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per (keys, order) with each summed column and its running total ``cum_<column>``.
 
     Rows are summed per value before anything is ordered.
     """
     keys = list(keys)
-    per_value = (
-        with_bucket(df, order, buckets)
-        .groupBy(*keys, "bucket", order)
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
+    summed = df.groupBy(*keys, order).agg(*[F.sum(c).alias(c) for c in sums])
+    per_value = with_bucket(written(summed, "sums"), order, buckets)
     direction = F.desc if descending else F.asc
     before = W.partitionBy(*keys).orderBy(direction("bucket")).rowsBetween(
         W.unboundedPreceding, -1
@@ -89,19 +93,17 @@ def exact_percentiles(
     value: str,
     shares: Sequence[float],
     keys: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated percentiles: rows (keys, share, percentile, n). Nulls are left out.
 
-    Only the buckets that hold a wanted rank are sorted.
+    Values are ranked in their own type; only the interpolation is in doubles. Only the buckets that hold a wanted rank
+    are sorted.
     """
     keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
-    per_value = (
-        with_bucket(rows, "v", buckets)
-        .groupBy(*keys, "bucket", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("v"))
+    counted = rows.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+    per_value = with_bucket(written(counted, "value-counts"), "v", buckets)
     whole = W.partitionBy(*keys)
     before = whole.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     totals = (
@@ -141,9 +143,10 @@ def exact_percentiles(
     return picked.select(
         *keys,
         "share",
-        (F.col("low") + (F.col("high") - F.col("low")) * (F.col("pos") - F.floor("pos"))).alias(
-            "percentile"
-        ),
+        (
+            F.col("low").cast("double")
+            + (F.col("high").cast("double") - F.col("low").cast("double")) * (F.col("pos") - F.floor("pos"))
+        ).alias("percentile"),
         F.col("total").alias("n"),
     )
 

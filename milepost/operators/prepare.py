@@ -51,21 +51,27 @@ def group_modes(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> D
     """Most frequent non-null value of each column per key group; the lowest wins a tie.
 
     Values are counted first, spread over (group, value), so a crowded group arrives at its final
-    task as one row per value and task. Columns of different types are compared as text.
+    task as one row per value and task. Every value keeps its type: columns of one type share a column, the others
+    are null, so a tie is decided as it would be for the column alone.
     """
     kinds = dict(df.dtypes)
-    kind = kinds[columns[0]] if len({kinds[c] for c in columns}) == 1 else "string"
-    rows = F.array(*[F.struct(F.lit(c), F.col(c).cast(kind)) for c in columns])
+    places = {kind: f"__v{i}" for i, kind in enumerate(sorted({kinds[c] for c in columns}))}
+    rows = F.array(*[
+        F.struct(F.lit(c), F.struct(*[
+            (F.col(c) if kinds[c] == kind else F.lit(None).cast(kind)).alias(place) for kind, place in places.items()
+        ])) for c in columns
+    ])
     long = df.select(*keys, F.inline(rows).alias("__column", "__value"))
+    held = F.coalesce(*[F.col(f"__value.{p}").cast("string") for p in places.values()])
     counts = (
-        long.where(F.col("__value").isNotNull())
+        long.where(held.isNotNull())
         .groupBy(*keys, "__column", "__value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     lowest = F.min(F.struct((-F.col("n")).alias("n"), F.col("__value").alias("value")))
     best = counts.groupBy(*keys, "__column").agg(lowest.alias("best"))
     return best.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("__column") == c, F.col("best.value"))).alias(c) for c in columns
+        F.max(F.when(F.col("__column") == c, F.col(f"best.value.{places[kinds[c]]}"))).alias(c) for c in columns
     ])
 
 

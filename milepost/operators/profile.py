@@ -22,7 +22,7 @@ def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), name:
     return df.select(*keys, F.inline(rows).alias(name, "value"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], buckets: int = 256) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Rows (column, n, mean, std, min, q25, q50, q75, max) with exact quartiles."""
     def summary(column: str) -> Column:
         x = F.col(column).cast("double")
@@ -74,7 +74,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """Rows (column, type, n, non_null, distinct_values) of every column.
+    """Rows (column, type, n, non_null, distinct_values) of every column, also of a table without rows.
 
     The values are stacked to (column, text) first, so the distinct counts share one shuffle that is
     spread over values.
@@ -86,12 +86,13 @@ def table_profile(df: DataFrame) -> DataFrame:
         for c, t in ((f.name, f.dataType) for f in df.schema.fields)
     ]).unpivot([], df.columns, "column", "text")
     per_value = texts.groupBy("column", "text").agg(F.count(F.lit(1)).alias("n"))
-    type_of = F.create_map(*[F.lit(x) for pair in types for x in pair])
-    return per_value.groupBy("column").agg(
+    counted = per_value.groupBy("column").agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("text").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
         F.count("text").alias("distinct_values"),
-    ).select("column", type_of[F.col("column")].alias("type"), "n", "non_null", "distinct_values")
+    )
+    names = df.sparkSession.createDataFrame(types, "column string, type string")
+    return names.join(counted, "column", "left").fillna(0, ["n", "non_null", "distinct_values"])
 
 
 def unique_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -100,7 +101,7 @@ def unique_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return texts.unpivot([], list(columns), "column", "value").distinct()
 
 
-def profile(df: DataFrame, numeric: Sequence[str], buckets: int = 256) -> DataFrame:
+def profile(df: DataFrame, numeric: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Rows (column, statistic, value): null counts, distinct counts and numeric summaries."""
     counts = table_profile(df)
     counts = counts.select(
@@ -131,30 +132,33 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(
     df: DataFrame, column: str, bins: int = 10, low: float | None = None, high: float | None = None
 ) -> DataFrame:
-    """Rows (bin, lower, upper, n) of equal-width bins; the top edge belongs to the last bin."""
+    """Rows (bin, lower, upper, n) of all equal-width bins, empty ones with 0; the top edge belongs to the last bin.
+
+    Without limits and without values there are no edges and no rows; a column with one value has one bin of no width.
+    """
     x = F.col(column).cast("double")
     values = df.where(x.isNotNull()).select(x.alias("x"))
     if low is None or high is None:
-        edge = values.agg(F.min("x").alias("low"), F.max("x").alias("high"))
-        lo, hi = edge.select("low").scalar(), edge.select("high").scalar()
+        edge = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo IS NOT NULL")
+        lo, hi = edge.select("lo").scalar(), edge.select("hi").scalar()
         values = values.withColumn("lo", lo).withColumn("hi", hi)
     else:
+        edge = df.sparkSession.createDataFrame([(float(low), float(high))], "lo double, hi double")
         values = values.where(F.col("x").between(low, high)).withColumns(
             {"lo": F.lit(float(low)), "hi": F.lit(float(high))}
         )
     width = (F.col("hi") - F.col("lo")) / bins
+    last = F.when(F.col("hi") > F.col("lo"), F.lit(bins - 1)).otherwise(F.lit(0))
+    every = edge.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
     # A column with one value has zero width and one bin.
     place = F.coalesce(F.floor(F.try_divide(F.col("x") - F.col("lo"), width)), F.lit(0))
     number = F.least(place, F.lit(bins - 1)).cast("int")
-    return (
-        values.groupBy("lo", "hi", number.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "bin",
-            (F.col("lo") + F.col("bin") * width).alias("lower"),
-            (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
-            "n",
-        )
+    filled = values.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return every.join(filled, "bin", "left").select(
+        "bin",
+        (F.col("lo") + F.col("bin") * width).alias("lower"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 

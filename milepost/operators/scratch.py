@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -15,8 +16,17 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a temporary folder for a session on this machine alone (``local[..]``, as in tests), and an error
+    for any other: its executors would not see a folder of the driver.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_folder()
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1e-3
-SALTS = 64
+#: Rows of one key that one task should get at most where keys are salted.
+TARGET_ROWS = 2_000_000
 
 
 def _hash(keys: Sequence[str], types: Sequence[str]) -> Column:
@@ -21,28 +21,17 @@ def _common_types(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> list[str]:
     return [f.dataType.simpleString() for f in both.schema.fields]
 
 
-def frequent_key_hashes(
-    df: DataFrame,
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    types: Sequence[str] | None = None,
-) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows: at most about ``1 / share``.
+def hot_keys(df: DataFrame, keys: Sequence[str], target_rows: int = TARGET_ROWS) -> DataFrame:
+    """(hot, salts): hashes of the keys with more than ``target_rows`` rows, and into how many parts each is cut.
 
-    One pass with the built-in mergeable top-k sketch: no shuffle of rows and bounded memory. The
-    counts are estimates; a key flagged wrongly costs a little replication and nothing else.
+    Rows are counted map-side first, and the result is a table, so neither the number of hot keys nor their size has a
+    limit. Several uses should share one written result.
     """
-    types = types or [dict(df.dtypes)[k] for k in keys]
-    most = round(1 / share)
-    found = (
-        df.select(_hash(keys, types).alias("h"))
-        .agg(
-            F.call_function("approx_top_k", F.col("h"), F.lit(most), F.lit(10 * most)).alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .first()
+    types = [dict(df.dtypes)[k] for k in keys]
+    counts = df.groupBy(_hash(keys, types).alias("hot")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > target_rows).select(
+        "hot", F.ceil(F.col("n") / target_rows).cast("int").alias("salts")
     )
-    return sorted(r["item"] for r in found["top"] or [] if r["count"] > share * found["n"] + 1)
 
 
 def lookup_join(
@@ -51,43 +40,43 @@ def lookup_join(
     keys: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
-    hot: Sequence[int] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a fact to a dimension with one row per key; ``keys`` carry the same names on both sides.
 
-    Fact rows of frequent keys are spread over ``salts`` sub-keys and only those dimension rows are
-    repeated, so the repetition is at most ``salts / share`` rows. The salt depends on the row and
-    its task number, so a retried task gives the same rows the same salts and equal copies of one
-    row still spread. No side is hinted: a small dimension is broadcast by Spark's own size check.
-    ``hot`` takes key hashes found earlier for keys of the same types and saves the detection pass;
-    ``[]`` turns salting off.
+    No side is hinted and nothing runs while the plan is built: a small dimension is broadcast by Spark's own size
+    check, and of a large one the adaptive join splits the fact's skewed partitions. ``hot``, a result of ``hot_keys``
+    over keys of the joined types, also salts: fact rows of those keys are spread over as many sub-keys as their
+    count asks for, and only their dimension rows are repeated. The salt depends on the row and its task number, so a
+    retried task gives the same rows the same salts and equal copies of one row still spread.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted lookup cannot be a {how} join: it would repeat dimension rows")
     keys = list(keys)
-    types = _common_types(fact, dim, keys)
-    if hot is None:
-        hot = frequent_key_hashes(fact, keys, share, types)
     right_keys = {k: f"__r_{k}" for k in keys}
     right = dim.withColumnsRenamed(right_keys)
-    left = fact
-    condition = _match(left, right, keys, null_safe)
-    if hot:
-        left = left.withColumn("__salt", _salt(fact, _hash(keys, types), hot, salts))
-        is_hot = _hash(list(right_keys.values()), types).isin(*hot)
-        right = right.withColumn(
-            "__rsalt",
-            F.explode(
-                F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        condition = _match(left, right, keys, null_safe) & (left["__salt"] == right["__rsalt"])
-    joined = left.join(right, condition, how)
-    return joined.drop(*right_keys.values(), "__salt", "__rsalt")
+    if hot is None:
+        joined = fact.join(right, _match(fact, right, keys, null_safe), how)
+        return joined.drop(*right_keys.values())
+    types = _common_types(fact, dim, keys)
+    cut = hot.select(F.col("hot").alias("__hot"), F.col("salts").alias("__salts"))
+    spread = F.pmod(row_hash(fact.columns), F.coalesce("__salts", F.lit(1))).cast("int")
+    left = (
+        fact.withColumn("__h", _hash(keys, types)).join(cut, F.col("__h") == F.col("__hot"), "left")
+        .withColumn("__salt", spread).drop("__h", "__hot", "__salts")
+    )
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
+    right = (
+        right.withColumn("__h", _hash(list(right_keys.values()), types)).join(cut, F.col("__h") == F.col("__hot"), "left")
+        .withColumn("__rsalt", parts).drop("__h", "__hot", "__salts")
+    )
+    condition = _match(left, right, keys, null_safe) & (left["__salt"] == right["__rsalt"])
+    return left.join(right, condition, how).drop(*right_keys.values(), "__salt", "__rsalt")
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """A non-negative number from a row and its task, the same in a retried task and far from the largest bigint."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) + F.spark_partition_id()
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> Column:
@@ -96,8 +85,3 @@ def _match(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool)
         a, b = left[k], right[f"__r_{k}"]
         condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
     return condition
-
-
-def _salt(fact: DataFrame, key_hash: Column, hot: Sequence[int], salts: int) -> Column:
-    spread = F.pmod(F.xxhash64(*fact.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    return F.when(key_hash.isin(*hot), spread).otherwise(F.lit(0))

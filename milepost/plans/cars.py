@@ -15,6 +15,7 @@ from milepost.plans.training import Spec
 
 DATE_COLUMNS = ("datecreated", "datecrawled", "lastseen")
 UNUSED = (*DATE_COLUMNS, "numberofpictures", "postalcode")
+#: The columns that are encoded.
 CATEGORIES = ("vehicletype", "gearbox", "model", "fueltype", "brand", "notrepaired")
 
 NUMBERS = ("registrationyear", "power", "kilometer", "registrationmonth")
@@ -36,20 +37,23 @@ def advert_dates(adverts: DataFrame) -> DataFrame:
 def clean_adverts(adverts: DataFrame) -> DataFrame:
     """Drop unused columns, free cars and outliers; fill the gaps from like cars.
 
-    The model is filled from the brand first and written to the shared folder; everything else then
-    shares one join with the (brand, model) statistics, which read those rows several times.
+    The model is filled from the brand first and written to the shared folder, as the (brand, model) statistics read
+    those rows several times; then body and gearbox, then the power limit, then fuel and power.
     """
     rows = lower_case_columns(adverts).drop(*UNUSED)
     rows = drop_value(rows, "price", 0)
-    rows = keep_between(rows, registrationyear=YEARS).where(F.col("power") < POWER_BELOW)
+    rows = keep_between(rows, registrationyear=YEARS)
+    rows = written(impute_by_group(rows, {"model": "mode"}, ["brand"]), "adverts-with-model")
+    # Bodies and gearboxes are filled before engines are looked at, so adverts with unsound power count there.
+    rows = impute_by_group(rows, {"vehicletype": "mode", "gearbox": "mode"}, ["brand", "model"])
+    rows = rows.where(F.col("power") < POWER_BELOW)
     # Hand-set medians may be fractions.
     rows = rows.withColumn("power", F.col("power").cast("double"))
-    rows = written(impute_by_group(rows, {"model": "mode"}, ["brand"]), "adverts-with-model")
     hand_set = [(F.col("model") == m, v) for m, v in POWER_BY_MODEL.items()]
     hand_set += [(F.col("brand") == b, v) for b, v in POWER_BY_BRAND.items()]
     rows = impute_by_group(
         rows,
-        {"vehicletype": "mode", "gearbox": "mode", "fueltype": "mode", "power": "median"},
+        {"fueltype": "mode", "power": "median"},
         ["brand", "model"],
         missing={"power": F.col("power") == 0},
         overrides={"power": hand_set},

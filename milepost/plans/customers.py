@@ -16,7 +16,9 @@ from milepost.plans.training import Spec
 OPEN = ABSENT = "No"
 CUT_OFF = "2020-02-01"
 
-NUMBERS = ("MonthlyCharges", "TotalCharges", "DaysInside")
+SCALED = ("MonthlyCharges", "TotalCharges", "DaysInside")
+NUMBERS = (*SCALED, "SeniorCitizen")
+#: The columns that are encoded.
 CATEGORIES = (
     "gender", "Partner", "Dependents", "Type", "PaperlessBilling", "PaymentMethod", "Day",
     "InternetService", "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
@@ -72,15 +74,24 @@ def with_service(view: DataFrame, service: str) -> DataFrame:
     return view.where(F.col(service) != ABSENT)
 
 
+def model_rows(view: DataFrame) -> DataFrame:
+    """The view for training: a customer without a personal row is not known to be a senior, so 0."""
+    return view.fillna({"SeniorCitizen": 0})
+
+
 def churn_spec(view: DataFrame, models: Mapping[str, Estimator]) -> Spec:
-    """What to train on the view: no calendar columns, which would leak time, and no id among the
-    features; the services the view has."""
+    """What to train on the view: no calendar columns, which would leak time, and no id among the features.
+
+    ``SeniorCitizen`` is 0 or 1 and is not scaled; fill it with ``model_rows`` first. An absent column raises.
+    """
+    if absent := [c for c in (*NUMBERS, *CATEGORIES, "is_active") if c not in view.columns]:
+        raise ValueError(f"the view has no column {', '.join(absent)}")
     return Spec(
         key="customerID",
         label="is_active",
         numeric=NUMBERS,
-        categories=[c for c in CATEGORIES if c in view.columns],
+        categories=CATEGORIES,
         task="classification",
-        scale=NUMBERS,
+        scale=SCALED,
         models=models,
     )

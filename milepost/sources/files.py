@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from milepost import schemas
 from milepost.functions.scalars import decimal_comma
+from milepost.operators.skew import row_hash
 
 CORRUPT = "_corrupt_record"
 
@@ -27,18 +29,43 @@ def read_cities(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str, sep: str = ",", keep_corrupt: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    sep: str = ",",
+    keep_corrupt: bool = False,
+    renamed: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV with header by a given schema: one pass, nullable columns, lines that do not fit become
-    nulls and, if asked, are kept as text in ``_corrupt_record``."""
-    fields = f"{schema}, {CORRUPT} string" if keep_corrupt else schema
-    reader = spark.read.schema(fields).options(header=True, sep=sep, mode="PERMISSIVE")
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    """CSV with header, columns taken by name whatever their order in the file; further columns are ignored.
+
+    ``renamed`` maps names of the file to names of the schema. A column of the schema that no header names raises.
+    Columns are nullable; a value that does not fit is null, and, if asked, what the file held in a line with such a
+    value is kept as text in ``_corrupt_record``. All files of a path carry one header.
+    """
+    reader = spark.read.options(header=True, sep=sep, mode="PERMISSIVE")
+    names = reader.csv(path).columns
+    wanted = StructType.fromDDL(schema)
+    held = {(renamed or {}).get(n, n): n for n in names}
+    if absent := [f.name for f in wanted if f.name not in held]:
+        raise ValueError(f"no column {', '.join(absent)} in the header {', '.join(names)} of {path}")
+    places = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+    fields = places.add(CORRUPT, StringType())
+    rows = reader.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv(path)
+    text = {n: F.col(f"c{i}") for i, n in enumerate(names)}
+    typed = {f.name: text[held[f.name]].try_cast(f.dataType) for f in wanted}
+    columns = [v.alias(k) for k, v in typed.items()]
+    if keep_corrupt:
+        unfit = F.lit(False)
+        for name, value in typed.items():
+            unfit = unfit | (value.isNull() & text[held[name]].isNotNull())
+        line = F.concat_ws(sep, *[F.coalesce(c, F.lit("")) for c in text.values()])
+        columns.append(F.coalesce(F.col(CORRUPT), F.when(unfit, line)).alias(CORRUPT))
+    return rows.select(*columns)
 
 
 def read_group_log(spark: SparkSession, path: str) -> DataFrame:
     """Group log with nullable integers; the file may call its time column ``datetime``."""
-    return read_csv(spark, path, schemas.GROUP_LOG)
+    return read_csv(spark, path, schemas.GROUP_LOG, renamed={"datetime": "event_dt"})
 
 
 def read_named_objects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -62,7 +89,7 @@ def write_parquet(
     """Write a mart; with partition columns each value's rows are gathered first, so that a load
     day does not end up in one small file per task."""
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(32))
+        spread = F.pmod(row_hash(df.columns), F.lit(32))
         df = df.repartition(*partition_by, spread)
         df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:

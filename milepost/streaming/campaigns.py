@@ -14,7 +14,7 @@ from milepost.sources import jdbc, kafka
 
 WATERMARK = "60 minutes"
 SALTS = 16
-BROADCAST_RECORDS = 20_000
+#: The columns that tell a message from another, and those that are sent.
 KEYS = (
     "restaurant_id", "adv_campaign_id", "adv_campaign_datetime_start",
     "adv_campaign_datetime_end", "client_id",
@@ -50,27 +50,21 @@ def match_subscribers(
     subscribers: DataFrame,
     now: Column | None = None,
     salts: int = SALTS,
-    records_per_trigger: int | None = None,
 ) -> DataFrame:
     """One row per campaign record and subscriber of its restaurant.
 
-    Where the source bounds a micro-batch (``maxOffsetsPerTrigger`` and the like) by at most
-    ``BROADCAST_RECORDS``, its campaigns are broadcast and subscribers are not shuffled. Otherwise
-    both sides are shuffled, with a popular restaurant's subscribers spread over ``salts`` sub-keys
-    and the campaign records repeated.
+    A popular restaurant's subscribers are spread over ``salts`` sub-keys and the campaign records repeated. No side is
+    hinted: Spark's own size check decides how they meet.
     """
     clock = F.current_timestamp() if now is None else now
     people = subscribers.select(F.col("restaraunt_id").alias("restaurant_id"), "client_id")
-    if records_per_trigger is not None and records_per_trigger <= BROADCAST_RECORDS:
-        matched = people.join(F.broadcast(campaigns), "restaurant_id")
-    else:
-        salt = F.pmod(F.xxhash64("client_id"), F.lit(salts)).cast("int")
-        spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        matched = (
-            campaigns.withColumn("salt", spread)
-            .join(people.withColumn("salt", salt), ["restaurant_id", "salt"])
-            .drop("salt")
-        )
+    salt = F.pmod(F.xxhash64("client_id"), F.lit(salts)).cast("int")
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    matched = (
+        campaigns.withColumn("salt", spread)
+        .join(people.withColumn("salt", salt), ["restaurant_id", "salt"])
+        .drop("salt")
+    )
     return matched.withColumn("trigger_datetime_created", clock)
 
 
@@ -80,14 +74,13 @@ def campaign_messages(
     now: Column | None = None,
     watermark: str = WATERMARK,
     salts: int = SALTS,
-    records_per_trigger: int | None = None,
 ) -> DataFrame:
     """Active campaigns per subscriber, once per key within the watermark.
 
     ``timestamp`` stays in the row up to the de-duplication, so its state is evicted as time moves.
     """
     active = active_campaigns(parse_campaigns(records), now).withWatermark("timestamp", watermark)
-    matched = match_subscribers(active, subscribers, now, salts, records_per_trigger)
+    matched = match_subscribers(active, subscribers, now, salts)
     return matched.dropDuplicatesWithinWatermark(list(KEYS)).select(*OUTPUT)
 
 

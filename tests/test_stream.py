@@ -24,15 +24,14 @@ def land(spark, folder, rows):
 class Job:
     """The stream over a folder, run to its end as often as asked."""
 
-    def __init__(self, spark, tmp_path, bound=None):
-        self.bound = bound
+    def __init__(self, spark, tmp_path):
         self.spark, self.folder = spark, str(tmp_path / "in")
         self.feedback, self.pushed, self.state = (str(tmp_path / n) for n in ("feedback", "push", "state"))
         self.people = spark.createDataFrame([("u1", "r1"), ("u2", "r1"), ("u3", "r2")], "client_id string, restaraunt_id string")
 
     def run(self):
         stream = self.spark.readStream.schema(INPUT).parquet(self.folder)
-        messages = campaigns.campaign_messages(stream, self.people, now=F.lit(NOW), salts=4, records_per_trigger=self.bound)
+        messages = campaigns.campaign_messages(stream, self.people, now=F.lit(NOW), salts=4)
         sinks = campaigns.two_sinks(campaigns.parquet_sink(self.feedback), campaigns.parquet_sink(self.pushed))
         query = campaigns.start(messages, sinks, self.state, available_now=True)
         query.awaitTermination()
@@ -43,9 +42,8 @@ class Job:
         return sorted((r["restaurant_id"], r["adv_campaign_id"], r["client_id"]) for r in rows)
 
 
-@pytest.mark.parametrize("bound", [None, 1000])
-def test_stream(spark, tmp_path, bound):
-    job = Job(spark, tmp_path, bound)
+def test_stream(spark, tmp_path):
+    job = Job(spark, tmp_path)
     at = lambda minute, hour=10: dt.datetime(2024, 1, 1, hour, minute)
     land(spark, job.folder, [
         ("k", body(), at(0)), ("k", body(), at(5)), ("k", "{broken", at(6)), ("k", body(restaurant="r9"), at(7)),
@@ -106,10 +104,9 @@ def test_hot_restaurant_is_spread(spark):
     assert out.count() == 1000
 
 
-def test_bounded_batch_does_not_shuffle_subscribers(spark, plan):
+def test_subscribers_meet_campaigns_without_a_hint(spark):
     people = spark.range(100).selectExpr("string(id) as client_id", "'r1' as restaraunt_id")
     batch = campaigns.parse_campaigns(spark.createDataFrame([("k", body(), NOW)] * 2, INPUT))
-    wide = campaigns.match_subscribers(batch, people, F.lit(NOW))
-    narrow = campaigns.match_subscribers(batch, people, F.lit(NOW), records_per_trigger=1000)
-    assert narrow.count() == wide.count() == 200
-    assert "hashpartitioning" not in plan(narrow)
+    matched = campaigns.match_subscribers(batch, people, F.lit(NOW))
+    assert matched.count() == 200
+    assert "strategy=broadcast" not in matched._jdf.queryExecution().optimizedPlan().toString()

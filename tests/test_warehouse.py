@@ -127,7 +127,7 @@ def test_scratch_is_the_named_folder(spark):
 
     class Unset:
         class conf:
-            get = staticmethod(lambda key, default: default)
+            get = staticmethod(lambda key, default: {"spark.master": "local[2]"}.get(key, default))
 
     assert shared_folder(Unset) == shared_folder(Unset) != ""
 
@@ -177,3 +177,19 @@ def test_jdbc_and_kafka_options():
     Frame.write = Recorder()
     kafka.write_topic(Frame(), {"o": "p"}, "out")
     assert Frame.write.told == {"format": "kafka", "o": "p", "topic": "out", "save": ()}
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text("size,id,more\n7,1,x\nbig,2,y\n8,3\n")
+    path = str(tmp_path / "swapped.csv")
+    rows = files.read_csv(spark, path, "id int, size int", keep_corrupt=True).collect()
+    assert [(r["id"], r["size"]) for r in rows] == [(1, 7), (2, None), (3, 8)]
+    assert [r[files.CORRUPT] is not None for r in rows] == [False, True, True]
+    with pytest.raises(ValueError, match="other"):
+        files.read_csv(spark, path, "id int, other int")
+
+
+def test_group_log_with_its_time_named_otherwise(spark, tmp_path):
+    (tmp_path / "log.csv").write_text("group_id,user_id,user_id_from,event,datetime\n1,2,,add,2024-01-05 10:00:00\n")
+    row = files.read_group_log(spark, str(tmp_path / "log.csv")).first()
+    assert (row["group_id"], row["user_id_from"], row["event"], str(row["event_dt"])) == (1, None, "add", "2024-01-05 10:00:00")
