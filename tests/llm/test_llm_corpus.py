@@ -162,7 +162,7 @@ def test_forest_isolates_outliers():
 def test_verdicts_and_threshold(spark):
     rng = random.Random(3)
     good = [(2000 + k, " ".join(f"wort{rng.randrange(900)}" for _ in range(60 + k)), "en", "s") for k in range(200)]
-    bad = [(1000 + k, " ".join(f"%%%|$$$&{j}" for j in range(80 + k)), "en", "s") for k in range(10)]
+    bad = [(1000 + k, " ".join(f"%%%|XYZ!!$$$&{j}" for j in range(80 + k)), "en", "s") for k in range(10)]
     docs = odd(spark, good + bad + TEXTS)
     labels = spark.createDataFrame(
         [(d, 1, 0) for d, *_ in good[:120]] + [(d, 0, 0) for d, *_ in bad[:6]] + [(2000, None, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int"
