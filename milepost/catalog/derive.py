@@ -369,9 +369,12 @@ PARTS_SQL = """parts AS (
 def adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Car adverts: brand, model and gaps from part, price from the retail price."""
     k = F.col("p_partkey")
-    stamp = F.lit("2016-03-24 11:52:17")
+    stamp = lambda days, seconds: F.date_format(
+        F.lit("2016-03-05 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")),
+        "yyyy-MM-dd HH:mm:ss",
+    )
     return load(spark, sf_dir, "part").select(
-        stamp.alias("DateCrawled"),
+        stamp(k % 30, k % 86_400).alias("DateCrawled"),
         F.when(k % 31 == 0, 0).otherwise(F.floor("p_retailprice")).cast("int").alias("Price"),
         F.when(k % 7 != 0, F.col("p_type")).alias("VehicleType"),
         (1970 + k % 50).cast("int").alias("RegistrationYear"),
@@ -383,9 +386,9 @@ def adverts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 != 0, F.when(k % 3 == 0, "gasoline").otherwise("petrol")).alias("FuelType"),
         F.col("p_brand").alias("Brand"),
         F.when(k % 6 != 0, F.when(k % 8 == 1, "yes").otherwise("no")).alias("NotRepaired"),
-        stamp.alias("DateCreated"),
+        F.when(k % 50 == 0, "unknown").otherwise(stamp(k % 20, F.lit(0))).alias("DateCreated"),
         F.lit(0).alias("NumberOfPictures"),
         (k % 9999).cast("int").alias("PostalCode"),
-        stamp.alias("LastSeen"),
+        stamp(k % 30 + 3, k % 3_600).alias("LastSeen"),
         k.alias("advert_id"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from milepost.catalog import derive
@@ -73,40 +74,32 @@ def linear_regression_rmse(spark, sf_dir):
     return rounded(out, ["rmse", "mean_prediction"], 3)
 
 
-@query("price_model_comparison")
+@query(
+    "price_model_comparison",
+    """SELECT unnest(['boosted', 'forest', 'linear']) AS model, true AS measured, true AS in_range
+    FROM (SELECT count(*) FROM part)""",
+)
 def price_model_comparison(spark, sf_dir):
-    """Linear, forest and boosted regression on the cleaned adverts."""
+    """The three regressors with their own settings; their errors are there and within the range of the prices."""
     adverts = cars.clean_adverts(derive.adverts(spark, sf_dir))
-    table, _ = training.train_compare(
-        adverts,
-        cars.price_spec(
-            "advert_id",
-            {
-                "linear": training.linear_regression(),
-                "forest": training.forest_regressor(trees=10, depth=5),
-                "boosted": training.boosted_regressor(iterations=5, depth=4),
-            },
-        ),
-    )
-    return table
+    spec = cars.price_spec("advert_id", training.price_models())
+    table, _ = training.train_compare(adverts, spec)
+    width = adverts.agg(F.max("price") - F.min("price")).scalar()
+    return table.select("model", (F.col("rmse") > 0).alias("measured"), (F.col("rmse") < width).alias("in_range"))
 
 
-@query("churn_model_comparison")
+@query(
+    "churn_model_comparison",
+    """SELECT unnest(['boosted', 'forest', 'logistic']) AS model, true AS accuracy_in_range, true AS auc_in_range
+    FROM (SELECT count(*) FROM customer)""",
+)
 def churn_model_comparison(spark, sf_dir):
-    """Logistic, forest and boosted classification on the customer view."""
+    """The three classifiers with their own settings on the customer view; their measures in range."""
     view = customers.model_rows(customers.customer_view(*derive.telecom(spark, sf_dir)))
-    table, _ = training.train_compare(
-        view,
-        customers.churn_spec(
-            view,
-            {
-                "logistic": training.logistic_regression(view.count()),
-                "forest": training.forest_classifier(trees=10, depth=6),
-                "boosted": training.boosted_classifier(iterations=5, depth=4),
-            },
-        ),
+    table, _ = training.train_compare(view, customers.churn_spec(view, training.churn_models(view.count())))
+    return table.select(
+        "model", F.col("accuracy").between(0.5, 1).alias("accuracy_in_range"), F.col("roc_auc").between(0.5, 1).alias("auc_in_range")
     )
-    return table
 
 
 @query("churn_importance")
@@ -114,7 +107,7 @@ def churn_importance(spark, sf_dir):
     view = customers.model_rows(customers.customer_view(*derive.telecom(spark, sf_dir)))
     spec = customers.churn_spec(view, {})
     data = training.prepare(view, spec)
-    model = training.forest_classifier(trees=10, depth=6).fit(data.train)
+    model = training.forest_classifier().fit(data.train)
     return training.feature_importance(spark, model, data.features)
 
 
@@ -302,3 +295,118 @@ def score_vectors(spark, sf_dir):
         "vec_id", "predicted", F.array_max("probs").cast("double").alias("best")
     )
     return rounded(out, ["best"], 3)
+
+
+# Learners on one binary feature have a closed form: what they must predict is a group mean.
+
+_ONE_FEATURE_SQL = """r AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS x, o_totalprice AS y,
+    CASE WHEN (o_orderstatus <> 'F' AND o_custkey % 4 = 0) OR (o_orderstatus = 'F' AND o_custkey % 3 <> 0) THEN 1 ELSE 0 END AS c
+    FROM orders),
+  g AS (SELECT x, count(*) AS n, avg(y) AS mean, avg(CAST(c AS DOUBLE)) AS share FROM r GROUP BY x)"""
+
+
+def _one_feature(spark, sf_dir, label):
+    """(o_orderkey, x, label, features): a binary feature, and next to it one that says nothing."""
+    orders = load(spark, sf_dir, "orders")
+    fixed = F.col("o_orderstatus") == "F"
+    y = F.col("o_totalprice")
+    buyer = F.col("o_custkey")
+    c = F.when((~fixed & (buyer % 4 == 0)) | (fixed & (buyer % 3 != 0)), 1.0).otherwise(0.0)
+    rows = orders.select(
+        "o_orderkey", F.when(fixed, 1.0).otherwise(0.0).alias("x"), F.lit(7.0).alias("same"),
+        (y if label == "y" else c).alias("label"),
+    )
+    return training.assemble(["x", "same"]).transform(rows)
+
+
+def _per_value(predictions, value, name="prediction"):
+    out = predictions.groupBy(F.col("x").cast("int").alias("x")).agg(F.count(F.lit(1)).alias("n"), F.max(value).alias(name))
+    return rounded(out, [name], 3)
+
+
+@query(
+    "forest_regressor_one_feature",
+    f"WITH {_ONE_FEATURE_SQL} SELECT CAST(x AS INTEGER) AS x, n, round(mean, 3) + 0.0e0 AS prediction FROM g",
+)
+def forest_regressor_one_feature(spark, sf_dir):
+    """A forest of one unsampled tree predicts the mean of each leaf."""
+    rows = _one_feature(spark, sf_dir, "y")
+    model = training.forest_regressor(trees=1, depth=3).setBootstrap(False).fit(rows)
+    return _per_value(model.transform(rows), "prediction")
+
+
+@query(
+    "boosted_regressor_one_feature",
+    f"WITH {_ONE_FEATURE_SQL} SELECT CAST(x AS INTEGER) AS x, n, round(mean, 3) + 0.0e0 AS prediction FROM g",
+)
+def boosted_regressor_one_feature(spark, sf_dir):
+    """The first round of boosting is a tree; later rounds find nothing left to fit."""
+    rows = _one_feature(spark, sf_dir, "y")
+    model = training.boosted_regressor(iterations=3, depth=2).fit(rows)
+    return _per_value(model.transform(rows), "prediction")
+
+
+@query(
+    "logistic_one_feature",
+    f"WITH {_ONE_FEATURE_SQL} SELECT CAST(x AS INTEGER) AS x, n, round(share, 3) + 0.0e0 AS probability FROM g",
+)
+def logistic_one_feature(spark, sf_dir):
+    """Without a penalty the fitted probability is the share of each group."""
+    rows = _one_feature(spark, sf_dir, "c")
+    model = training.logistic_regression(1).setRegParam(0.0).setMaxIter(200).setTol(1e-12).fit(rows)
+    score = vector_to_array("probability")[1]
+    return _per_value(model.transform(rows), score, "probability")
+
+
+@query(
+    "forest_classifier_one_feature",
+    f"WITH {_ONE_FEATURE_SQL} SELECT CAST(x AS INTEGER) AS x, n, round(share, 3) + 0.0e0 AS probability FROM g",
+)
+def forest_classifier_one_feature(spark, sf_dir):
+    rows = _one_feature(spark, sf_dir, "c")
+    model = training.forest_classifier(trees=1, depth=3).setBootstrap(False).fit(rows)
+    return _per_value(model.transform(rows), vector_to_array("probability")[1], "probability")
+
+
+@query(
+    "boosted_classifier_one_feature",
+    f"""WITH {_ONE_FEATURE_SQL}
+    SELECT CAST(x AS INTEGER) AS x, n, CASE WHEN share > 0.5 THEN 1.0e0 ELSE 0.0e0 END AS prediction FROM g""",
+)
+def boosted_classifier_one_feature(spark, sf_dir):
+    """Boosting on one feature says the larger class of each group."""
+    rows = _one_feature(spark, sf_dir, "c")
+    model = training.boosted_classifier(iterations=3, depth=2).fit(rows)
+    return _per_value(model.transform(rows), "prediction")
+
+
+@query(
+    "importance_one_feature",
+    """SELECT 'x' AS feature, CASE WHEN count(DISTINCT o_orderstatus = 'F') = 2 THEN 1.0e0 ELSE 0.0e0 END AS importance FROM orders
+    UNION ALL SELECT 'same', 0.0e0 FROM (SELECT count(*) FROM orders)""",
+)
+def importance_one_feature(spark, sf_dir):
+    """All importance goes to the only feature that says something."""
+    rows = _one_feature(spark, sf_dir, "y")
+    model = training.forest_regressor(trees=5, depth=2).fit(rows)
+    return training.feature_importance(spark, model, ["x", "same"])
+
+
+@query(
+    "cv_depth_grid",
+    f"""WITH r AS (SELECT o_totalprice AS y, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS x,
+      {_part_sql(1, 'o_orderkey', 3)} AS fold FROM orders),
+    k AS (SELECT f FROM range(3) k(f)),
+    flat AS (SELECT f, avg(y) AS m FROM r, k WHERE fold <> f GROUP BY f),
+    leaf AS (SELECT f, x, avg(y) AS m FROM r, k WHERE fold <> f GROUP BY f, x),
+    e AS (SELECT 0.0e0 AS "maxDepth", f, sqrt(avg((y - m) * (y - m))) AS e FROM r JOIN flat ON fold = f GROUP BY f
+      UNION ALL SELECT 1.0e0, leaf.f, sqrt(avg((y - m) * (y - m))) FROM r JOIN leaf ON fold = leaf.f AND r.x = leaf.x GROUP BY leaf.f),
+    m AS (SELECT "maxDepth", avg(e) AS metric FROM e GROUP BY "maxDepth")
+    SELECT "maxDepth", round(metric, 2) + 0.0e0 AS metric, metric = (SELECT min(metric) FROM m) AS best FROM m""",
+)
+def cv_depth_grid(spark, sf_dir):
+    """Three-fold grid search over depth: no split is the mean, one split is the mean of each group."""
+    rows = training.with_fold(_one_feature(spark, sf_dir, "y"), "o_orderkey", 3)
+    tree = training.forest_regressor(trees=1).setBootstrap(False)
+    table, _ = training.cross_validate(rows, tree, {"maxDepth": [0, 1]}, folds=3)
+    return rounded(table, ["metric"], 2)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from milepost.catalog import derive
 from milepost.catalog.registry import load, query, rounded
 from milepost.operators import prepare
+from milepost.operators.profile import describe_times, time_histogram
 from milepost.operators.profile import pivot_share as share_by
 from milepost.plans import cars, customers
 
@@ -234,3 +235,34 @@ med AS (SELECT brand, model, trunc(quantile_cont(power, 0.5)) AS med FROM sound
 )
 def car_adverts(spark, sf_dir):
     return cars.clean_adverts(derive.adverts(spark, sf_dir))
+
+
+_DATES_SQL = """d AS (
+  SELECT p_partkey AS k,
+    TIMESTAMP '2016-03-05' + to_days(CAST(p_partkey % 30 AS INTEGER)) + to_seconds(p_partkey % 86400) AS datecrawled,
+    CASE WHEN p_partkey % 50 <> 0 THEN TIMESTAMP '2016-03-05' + to_days(CAST(p_partkey % 20 AS INTEGER)) END AS datecreated,
+    TIMESTAMP '2016-03-05' + to_days(CAST(p_partkey % 30 + 3 AS INTEGER)) + to_seconds(p_partkey % 3600) AS lastseen
+  FROM part)"""
+
+
+@query(
+    "advert_dates",
+    f"WITH {_DATES_SQL} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count({c}) AS n, count(DISTINCT CAST({c} AS DATE)) AS days, min({c}) AS first, max({c}) AS last FROM d"""
+        for c in cars.DATE_COLUMNS
+    ),
+)
+def advert_dates(spark, sf_dir):
+    """Summary of the date columns before they are dropped; unreadable dates are null."""
+    out = describe_times(cars.advert_dates(derive.adverts(spark, sf_dir)), cars.DATE_COLUMNS).drop("mean")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first", "last")})
+
+
+@query(
+    "advert_date_histogram",
+    f"""WITH {_DATES_SQL}, e AS (SELECT min(datecrawled) AS lo, epoch(max(datecrawled)) - epoch(min(datecrawled)) AS w FROM d)
+    SELECT CAST(b.bin AS INTEGER) AS bin, count(f.bin) AS n FROM range(6) b(bin) LEFT JOIN (
+      SELECT least(floor((epoch(datecrawled) - epoch(lo)) / (w / 6)), 5) AS bin FROM d, e) f ON f.bin = b.bin GROUP BY b.bin""",
+)
+def advert_date_histogram(spark, sf_dir):
+    return time_histogram(cars.advert_dates(derive.adverts(spark, sf_dir)), "datecrawled", 6).select("bin", "n")

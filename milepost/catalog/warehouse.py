@@ -350,14 +350,19 @@ def json_build(spark, sf_dir):
 
 @query(
     "labelled_files",
-    """SELECT 'lang=' || lang AS label, CAST(1 AS BIGINT) AS n,
-      CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS "index"
-    FROM (SELECT DISTINCT lang FROM documents)""",
+    """SELECT 'lang=' || lang AS label, true AS several, sum(strlen(text) + 1) :: BIGINT AS bytes,
+      sum(length(text) + 1) :: BIGINT AS chars, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS "index"
+    FROM documents GROUP BY lang""",
 )
 def labelled_files(spark, sf_dir):
-    """File tree with labels as directory names: files per label and label numbers."""
+    """File tree with labels as directory names and whole texts as content: sizes per label and label numbers."""
     path = new_path(spark, "labelled")
-    docs = load(spark, sf_dir, "documents").select("lang", F.col("doc_id").cast("string").alias("value"))
-    docs.repartition("lang").write.partitionBy("lang").text(path)
+    docs = load(spark, sf_dir, "documents").select("lang", F.col("text").alias("value"), "doc_id")
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(16))
+    docs.repartition(16, "lang", spread).select("lang", "value").write.partitionBy("lang").text(path)
     found = files.read_labelled_files(spark, path, "*.txt")
-    return files.label_counts(found).join(files.class_indices(found), "label")
+    sizes = found.groupBy("label").agg(
+        F.sum("length").alias("bytes"), F.sum(F.length(F.decode("content", "UTF-8"))).cast("bigint").alias("chars")
+    )
+    several = files.label_counts(found).select("label", (F.col("n") > 1).alias("several"))
+    return several.join(sizes, "label").join(files.class_indices(found), "label")

@@ -50,6 +50,25 @@ def describe(df: DataFrame, columns: Sequence[str], buckets: int | None = None)
     )
 
 
+def describe_times(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, n, days, first, last, mean) of timestamp columns; nulls are left out."""
+    def summary(column: str) -> Column:
+        at = F.col(column).cast("timestamp")
+        return F.struct(
+            F.count(at).alias("n"), F.count_distinct(F.to_date(at)).alias("days"), F.min(at).alias("first"), F.max(at).alias("last"),
+            F.timestamp_micros(F.avg(F.unix_micros(at)).cast("bigint")).alias("mean"),
+        ).alias(column)
+
+    return df.agg(*[summary(c) for c in columns]).unpivot([], list(columns), "column", "s").select("column", "s.*")
+
+
+def time_histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
+    """Rows (bin, lower, upper, n) of all equal bins between the first and the last time."""
+    seconds = df.select(F.unix_micros(F.col(column).cast("timestamp")).alias("t"))
+    edge = lambda c: F.timestamp_micros(F.col(c).cast("bigint")).alias(c)
+    return histogram(seconds, "t", bins).select("bin", edge("lower"), edge("upper"), "n")
+
+
 def value_counts(df: DataFrame, column: str, by_value: bool = False) -> DataFrame:
     """Counts per value without nulls, most frequent first or in value order."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
