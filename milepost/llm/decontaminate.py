@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Share of an item's characters that may be edited.
-RATE = 0.06
+RATE = 0.08
 #: Items with fewer characters after normalising are too common to tell; they are not searched.
 LEAST_CHARS = 20
 #: Items that one automaton holds; a larger benchmark takes more passes over the documents.
