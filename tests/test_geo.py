@@ -193,3 +193,40 @@ def test_recommendations_need_channel_distance_and_silence(spark):
     # 1-5 talked, 3 is far, 4 shares no channel.
     assert {(r["user_left"], r["user_right"]) for r in got} == {(1, 2), (2, 1), (2, 5), (5, 2)}
     assert all(r["zone_id"] == "Sydney" for r in got)
+
+
+@pytest.mark.parametrize("inline", [100, 0])
+def test_unsound_coordinates_have_no_place(spark, inline):
+    places = spark.createDataFrame([*CITIES, ("A", float("nan"), 1.0), ("B", 95.0, 1.0)], CITY_DDL)
+    rows = [(1, float("nan"), 151.0), (2, -33.0, float("nan")), (3, 90.5, 0.0), (4, None, 0.0), (5, -33.0, 151.0)]
+    events = spark.createDataFrame(rows, "id int, lat double, lon double")
+    got = {r["id"]: r["city"] for r in nearest_place(events, places, inline_places=inline).collect()}
+    assert got == {1: None, 2: None, 3: None, 4: None, 5: "Sydney"}
+    assert [r["id"] for r in geo_marts.located(events).collect()] == [5]
+
+
+def test_both_ways_agree_about_the_switch(spark):
+    """The same events and ties with 40 places, the last that are inlined, and with 41."""
+    rng = random.Random(8)
+    places = [(f"p{i:02d}", rng.uniform(-60, 60), rng.uniform(-180, 180)) for i in range(37)]
+    places += [("tie b", 10.0, 11.0), ("tie a", 10.0, 9.0), ("tie c", 10.0, 11.0)]
+    far = [*places, ("pole", -90.0, 0.0)]
+    points = [(i, rng.uniform(-60, 80), rng.uniform(-180, 180)) for i in range(200)] + [(900, 10.0, 10.0), (901, 10.0, 11.0), (902, 10.0, 10.0)]
+    events = spark.createDataFrame(points, "id int, lat double, lon double")
+    run = lambda p: {r["id"]: (r["city"], r["km"]) for r in nearest_place(events, spark.createDataFrame(p, CITY_DDL)).collect()}
+    inlined, looked_up = run(places), run(far)
+    assert inlined[901][0] == "tie b"
+    away = {k for k, v in looked_up.items() if v[0] == "pole"}
+    assert {k: v for k, v in inlined.items() if k not in away} == {k: v for k, v in looked_up.items() if k not in away}
+
+
+def test_many_crowded_keys_are_all_cut(spark):
+    """One channel with half of the rows and others just over the block size: no (channel, cell) block is much over it."""
+    rows = [(1 if i % 2 else 2 + i % 7, i, 50.0 + i * 1e-7, 8.0) for i in range(600)]
+    members = spark.createDataFrame(rows, "channel int, user_id int, lat double, lon double")
+    found = pairs_within(members, 1.0, "channel", "user_id", rows_per_block=20)
+    sizes = {}
+    for c, *_ in rows:
+        sizes[c] = sizes.get(c, 0) + 1
+    assert found.count() == sum(n * (n - 1) // 2 for n in sizes.values())
+    assert found.select("user_id_left", "user_id_right").distinct().count() == found.count()
