@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,7 +62,3 @@ def arg_max(values: Column) -> Column:
 def larger_of(a: Column, b: Column) -> Column:
     """``a`` where it exceeds ``b``, else ``b`` (a null comparison gives ``b``)."""
     return F.when(a > b, a).otherwise(b)
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda x, y: x & y, conditions)
