@@ -32,6 +32,10 @@ PRICE_FOREST_GRID = {"numTrees": list(range(35, 50, 5)), "maxDepth": list(range(
 CHURN_FOREST_GRID = {"numTrees": list(range(1, 100, 5)), "maxDepth": list(range(1, 20, 5))}
 
 
+#: Different values of a column that an encoder may hold on the driver.
+MOST_LABELS = 100_000
+
+
 def price_models() -> dict[str, Estimator]:
     """The three regressors compared on prices."""
     return {
@@ -60,6 +64,13 @@ def ordinal_encoder(columns: Sequence[str], suffix: str = "_code") -> StringInde
     )
 
 
+def check_labels(df: DataFrame, columns: Sequence[str], most: int = MOST_LABELS) -> None:
+    """Raise where a column has more than about ``most`` different values: its encoder would hold them all on the driver."""
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    if wide := [f"{c} ({row[c]})" for c in columns if row[c] > most]:
+        raise ValueError(f"more than {most} different values to encode in {', '.join(wide)}")
+
+
 @dataclass(frozen=True)
 class Scaling:
     """Mean and population deviation per column, taken from the training rows."""
@@ -139,6 +150,7 @@ class Spec:
     models: Mapping[str, Estimator] = field(default_factory=dict)
     seed: int = 0
     test_percent: int = 20
+    most_labels: int = MOST_LABELS
 
 
 @dataclass
@@ -162,6 +174,7 @@ def prepare(df: DataFrame, spec: Spec) -> Prepared:
     train, test = split(rows, spec.key, spec.seed, spec.test_percent)
     encoder = None
     if spec.categories:
+        check_labels(train, spec.categories, spec.most_labels)
         encoder = Pipeline(stages=[ordinal_encoder(spec.categories)]).fit(train)
         train, test = encoder.transform(train), encoder.transform(test)
     scaling = Scaling.fit(train, spec.scale) if spec.scale else Scaling({})

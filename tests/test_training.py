@@ -91,3 +91,10 @@ def test_score_vectors(spark):
 
     got = {r["id"]: (list(r["probs"]), r["predicted"]) for r in training.score_vectors(df, "v", make).collect()}
     assert got == {1: ([0.0, 4.0], 1), 2: ([3.0, 2.0], 0)}
+
+
+def test_a_column_with_too_many_labels_is_named(spark):
+    rows = spark.range(500).selectExpr("id", "string(id) as wide", "string(id % 3) as narrow")
+    training.check_labels(rows, ["narrow", "wide"])
+    with pytest.raises(ValueError, match="wide"):
+        training.check_labels(rows, ["narrow", "wide"], most=100)
