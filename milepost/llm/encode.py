@@ -42,7 +42,7 @@ class WordEncoder:
     one goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, words: int = 500_000):
+    def __init__(self, path: str, words: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
