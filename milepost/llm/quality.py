@@ -20,6 +20,7 @@ TREES = 128
 TREE_ROWS = 256
 #: Rows sampled for the forest: those with the smallest hashes.
 SAMPLE_ROWS = 16_384
+HASH_PARTS = 1 << 30
 #: Share of good labelled rows that the threshold may reject.
 GOOD_LOSS = 0.005
 #: Scores are compared in steps of one over this.
@@ -194,7 +195,8 @@ def fit(
     measured: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, good_loss: float = GOOD_LOSS,
     label_id: str = "doc_id", label: str = "quality",
 ) -> Rules:
-    """Forest from the statistics of at most ``sample_rows`` rows, threshold from all labelled rows.
+    """Forest from the statistics of at most ``sample_rows`` rows (those with the smallest hashes of a part of all), threshold
+    from all labelled rows.
 
     ``measured`` is the written result of ``with_statistics``. The threshold is the one with the largest sum of
     bad rows rejected and good rows kept (shares), among those that reject at most ``good_loss`` of the good
@@ -202,13 +204,18 @@ def fit(
     """
     whole = measured.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     order = F.xxhash64(F.col("doc_id"), *COUNTS)
-    sample = whole.select(*SPLIT).orderBy(order, *SPLIT).limit(sample_rows).collect()
+    # Of many rows only about four times the sample meets at the driver, however many tasks there are.
+    part = int(min(1.0, 4 * sample_rows / max(whole.count(), 1)) * HASH_PARTS)
+    likely = whole.where(F.pmod(order, F.lit(HASH_PARTS)) < part)
+    sample = likely.select(*SPLIT).orderBy(order, *SPLIT).limit(sample_rows).collect()
     if len(sample) < 2:
         return Rules(None, math.inf)
     forest = grow([tuple(r) for r in sample])
     known = labels.select(F.col(label_id).cast("bigint").alias("doc_id"), F.col(label).alias("good")).where("good IN (0, 1)")
     step = F.floor(F.col("score") * STEPS).alias("step")
-    counted = _scored(whole, forest).select("doc_id", step).join(known, "doc_id").groupBy("step", "good").count().collect()
+    # Both sides grow with the corpus; the size of a compressed file says little about the label table in memory.
+    met = _scored(whole, forest).select("doc_id", step).join(known.hint("merge"), "doc_id")
+    counted = met.groupBy("step", "good").count().collect()
     good, bad = ({r["step"]: r["count"] for r in counted if r["good"] == k} for k in (1, 0))
     if not good or not bad:
         return Rules(forest, math.inf)
