@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-#: Windows of the corpus that the field is trained on, at most.
+#: Documents that windows for training are cut from, about, and windows that the field is trained on, at most.
+TRAIN_DOCS = 100_000
 TRAIN_WINDOWS = 700
 #: Longest span in characters and tokens.
 MOST_CHARS, MOST_TOKENS = 64, 26
 #: Characters looked at on either side of a trigger.
 MARGIN = 48
 EPOCHS, RATE, SHRINK = 8, 0.5, 1e-4
+HASH_PARTS = 1 << 30
 
 # Matches equal those of the stated patterns; the guards only keep long runs linear.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -256,8 +258,10 @@ def train(samples: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
     return Field({n: weights[k].tolist() for n, k in index.items()})
 
 
-def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, text_col: str = "text") -> Field:
-    """A field from at most ``train_windows`` windows: those with the smallest hashes of all windows of all texts."""
+def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, train_docs: int = TRAIN_DOCS, text_col: str = "text") -> Field:
+    """A field from at most ``train_windows`` windows: those with the smallest hashes in about ``train_docs`` whole texts, which
+    a hash of the text chooses. Both bounds hold what meets at the driver, however many tasks there are.
+    """
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -265,7 +269,9 @@ def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, text_col: str = "te
             parts = [t[a:b] for cell in batch.column(0) if (t := cell.as_py()) for a, b in windows(t) if b - a <= 8 * MARGIN]
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string())], names=["part"])
 
-    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(cut, "part string")
+    texts = docs.select(F.col(text_col).alias("text"))
+    share = int(min(1.0, train_docs / max(texts.count(), 1)) * HASH_PARTS)
+    parts = texts.where(F.pmod(F.xxhash64("text"), F.lit(HASH_PARTS)) < share).mapInArrow(cut, "part string")
     chosen = [r.part for r in parts.orderBy(F.xxhash64("part"), "part").limit(train_windows).collect()]
     samples = []
     for turn, text in enumerate(chosen):
