@@ -1,8 +1,9 @@
 """Licence scans with a positional index of rare licence words.
 
-Of every template the words that are rarest in the corpus (highest IDF) are posted with their place in the
-template. A text's words are looked up in this small index; each hit says where the whole template would
-start, its other words are compared at their relative places, and its mandatory phrases must stand whole.
+Of every template's mandatory phrase the word that is rarest in the corpus (highest IDF) is posted with its place
+in the template. A text's words are looked up in this small index; each hit says where the whole template would
+start, its other words are compared at their relative places, and its mandatory phrase must stand whole: so
+the posted word leads to every place.
 """
 
 from __future__ import annotations
@@ -44,8 +45,6 @@ TEMPLATES = (
     ("bsd 3 clause license", "bsd", "bsd 3 clause license"),
     ("this is free and unencumbered software released into the public domain", "unlicense", "free and unencumbered software"),
 )
-#: Rarest words of a template that are posted.
-POSTED = 2
 #: Share of a template's IDF that must stand in place.
 IN_PLACE = 0.7
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -108,11 +107,9 @@ def scan(
 
     postings: dict[str, list[tuple[int, int]]] = {}
     for k, t in enumerate(made):
-        # A base phrase stands whole, so its rarest word leads to every place of it, once.
-        places = t.must if t.base else range(len(t.words))
-        rarest = sorted(places, key=lambda i: (-idf[t.words[i]], i))[: 1 if t.base else POSTED]
-        for i in rarest:
-            postings.setdefault(t.words[i], []).append((k, i))
+        # The mandatory phrase stands whole, so its rarest word leads to every place of the template, once.
+        rarest = min(t.must, key=lambda i: (-idf[t.words[i]], i))
+        postings.setdefault(t.words[rarest], []).append((k, rarest))
 
     index = F.create_map(
         *[

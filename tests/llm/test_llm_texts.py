@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -59,6 +60,34 @@ def test_licenses_odd_texts(spark):
     assert licenses.scan(empty(spark)).collect() == []
 
 
+def template_places(words, made, idf):
+    """(label, start, share, base) of every template at every start of the text."""
+    out = []
+    for t in made:
+        for start in range(len(words) - max(t.must)):
+            there = [start + i < len(words) and words[start + i] == w for i, w in enumerate(t.words)]
+            share = sum(idf[w] for w, ok in zip(t.words, there) if ok) / sum(idf[w] for w in t.words)
+            if all(there[i] for i in t.must) and share >= licenses.IN_PLACE:
+                out.append((t.label, start, round(share, 9), t.base))
+    return sorted(out)
+
+
+def test_licenses_without_a_templates_rarest_words(spark):
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and its manual files"
+    bsd = "redistribution and use in source and binary forms with or without modification are forbidden"
+    texts = [f"{'x ' * (k % 7)}{grant} {bsd}" if k % 10 == 0 else "is to any of a this and in or with are use person copy" for k in range(200)]
+    docs = [(k, t, "en", "s") for k, t in enumerate(texts)]
+    made = licenses._templates(licenses.PHRASES, licenses.TEMPLATES)
+    known = sorted({w for t in made for w in t.words})
+    words = [re.findall(r"[a-z0-9]+", t.lower()) for t in texts]
+    holding = Counter(w for row in words for w in set(row))
+    idf = {w: math.log((1 + len(texts)) / (1 + holding[w])) + 1 for w in known}
+    wanted = {k: template_places(row, made, idf) for k, row in enumerate(words)}
+    assert {place[0] for place in wanted[0]} == {"mit", "bsd"}
+    for r in licenses.scan(odd(spark, docs)).collect():
+        assert sorted((p.label, p.start, round(p.share, 9), p.base) for p in r.places or []) == wanted[r.doc_id]
+
+
 # benchmark decontamination
 
 
