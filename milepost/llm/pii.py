@@ -2,7 +2,7 @@
 
 The field scores whole candidate spans (digits, groups, check sums, characters, neighbours) and a bounded-entity
 dynamic programme picks boundaries and kinds together. It is trained here, on windows of the corpus whose
-spans the patterns label and on rewritten copies of them: obfuscated addresses, numbers without a plus sign.
+spans the patterns label and on rewritten copies of them: obfuscated and short addresses, numbers without a plus sign.
 """
 
 from __future__ import annotations
@@ -33,7 +33,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _AT = re.compile(r"@|[\[(]\x20?at\x20?[\])]", re.IGNORECASE)
-_TRIGGER = re.compile(r"@|[\[(]\x20?at\x20?[\])]|[0-9](?:[\x20().\[\]-]{0,3}+[0-9]){6,}+", re.IGNORECASE)
+_DOT = r"(?:\.|\x20?[\[(]\x20?(?:\.|dot)\x20?[\])]\x20?)"
+_TRIGGER = re.compile(
+    r"@|[\[(]\x20?at\x20?[\])]|[0-9](?:[\x20().\[\]-]{0,3}+[0-9]){6,}+|[0-9]{1,3}(?:" + _DOT + "[0-9]{1,3}){3}", re.IGNORECASE
+)
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|.", re.DOTALL)
 _MAIL = re.compile(r"[\w.%+-]+\s?(?:@|[\[(]\s?at\s?[\])])\s?[\w-]+(?:\s?(?:\.|[\[(]\s?dot\s?[\])])\s?[\w-]+)+", re.IGNORECASE)
 
@@ -199,7 +202,7 @@ def rewritten(text: str, spans: list[tuple[str, int, int]], turn: int) -> tuple[
         elif kind == "phone":
             span = span[1:] if turn % 2 else re.sub(r"^\+[0-9]{1,3}[\x20.-]+", "", span) or span
         elif kind == "ip":
-            span = span.replace(".", "[.]")
+            span = span.replace(".", ("[.]", "[.]", "(.)", "[dot]")[turn % 4])
         else:
             span = " - ".join(re.findall(".{1,4}", digits_of(span))) if turn % 2 else ".".join(re.findall(".{1,4}", digits_of(span)))
         out += text[done:a]
@@ -209,6 +212,20 @@ def rewritten(text: str, spans: list[tuple[str, int, int]], turn: int) -> tuple[
     return out + text[done:], made
 
 
+def shortened(text: str, spans: list[tuple[str, int, int]], turn: int) -> tuple[str, list[tuple[str, int, int]]]:
+    """The window with the last digit in place of some numbers of its ips, all of them in every 16th turn."""
+    out, made, done = "", [], 0
+    for kind, a, b in sorted(spans, key=lambda s: s[1]):
+        span = text[a:b]
+        if kind == "ip":
+            span = ".".join(p if turn >> k & 1 else p[-1] for k, p in enumerate(span.split(".")))
+        out += text[done:a]
+        made.append((kind, len(out), len(out) + len(span)))
+        out += span
+        done = b
+    return out + text[done:], made
+
+
 def train(samples: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = EPOCHS) -> Field:
     """Weights by gradient steps on the conditional likelihood of each window's segmentation."""
     import numpy as np
@@ -259,8 +276,8 @@ def train(samples: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = E
 
 
 def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, train_docs: int = TRAIN_DOCS, text_col: str = "text") -> Field:
-    """A field from at most ``train_windows`` windows: those with the smallest hashes in about ``train_docs`` whole texts, which
-    a hash of the text chooses. Both bounds hold what meets at the driver, however many tasks there are.
+    """A field from at most ``train_windows`` different windows: those with the smallest hashes in about ``train_docs`` whole texts,
+    which a hash of the text chooses. Both bounds hold what meets at the driver, however many tasks there are.
     """
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -281,6 +298,9 @@ def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, train_docs: int = T
         samples.append((text, spans))
         if spans:
             samples.append(rewritten(text, spans, turn))
+        if any(kind == "ip" for kind, *_ in spans):
+            # Another stretch of turns per short form, so that each meets each spelling.
+            samples.append(rewritten(*shortened(text, spans, turn // 4), turn))
     return train(samples) if any(gold for _, gold in samples) else Field({})
 
 

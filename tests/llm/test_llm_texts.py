@@ -291,6 +291,14 @@ def test_field_finds_rewritten_spans(field):
     assert found[True] > 0.85 * sum(found.values()) and found[True] > 50
 
 
+def test_short_addresses_in_the_operators_own_spelling(field):
+    for address in ("10[.]0[.]0[.]5", "1[.]1[.]1[.]1", "10(.)0(.)0(.)5", "10[dot]0[dot]0[dot]5", "97[dot]51[dot]17[dot]173"):
+        text = f"the host {address} was down"
+        assert pii.windows(text) and pii.find(text, field) == ([], [("ip", 9, 9 + len(address))])
+    assert pii.windows("192[.]0[.]2[.]1") and not pii.windows("chapters 1. 2. 3. 4 and 1, 2, 3, 4")
+    assert pii.shortened("a 12.34.56.78 b", [("ip", 2, 13)], 1) == ("a 12.4.6.8 b", [("ip", 2, 10)])
+
+
 def test_pii_rows(spark, field):
     rows = pii.scan(odd(spark), field).collect()
     assert len(rows) == len(TEXTS)
