@@ -288,7 +288,7 @@ def fit(docs: DataFrame, train_windows: int = TRAIN_WINDOWS, train_docs: int = T
 
     texts = docs.select(F.col(text_col).alias("text"))
     share = int(min(1.0, train_docs / max(texts.count(), 1)) * HASH_PARTS)
-    parts = texts.where(F.pmod(F.xxhash64("text"), F.lit(HASH_PARTS)) < share).mapInArrow(cut, "part string")
+    parts = texts.where(F.pmod(F.xxhash64("text"), F.lit(HASH_PARTS)) < share).mapInArrow(cut, "part string").distinct()
     chosen = [r.part for r in parts.orderBy(F.xxhash64("part"), "part").limit(train_windows).collect()]
     samples = []
     for turn, text in enumerate(chosen):

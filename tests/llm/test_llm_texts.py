@@ -299,6 +299,14 @@ def test_short_addresses_in_the_operators_own_spelling(field):
     assert pii.shortened("a 12.34.56.78 b", [("ip", 2, 13)], 1) == ("a 12.4.6.8 b", [("ip", 2, 10)])
 
 
+def test_field_learns_from_different_windows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda samples: seen.extend(samples) or pii.Field({}))
+    docs = [(k, f"write to person{k % 20}@example.org about it", "en", "s") for k in range(600)]
+    pii.fit(odd(spark, docs), train_windows=10)
+    assert len({text for text, _ in seen if "@" in text}) == 10
+
+
 def test_pii_rows(spark, field):
     rows = pii.scan(odd(spark), field).collect()
     assert len(rows) == len(TEXTS)
