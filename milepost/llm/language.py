@@ -146,17 +146,17 @@ def build(kept: dict[str, list[int]]) -> Filters:
 
 
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, grams_kept: int = GRAMS, text_col: str = "text", lang_col: str = "lang") -> Filters:
-    """Filters from rows with text and language: about ``sample_docs`` rows of each language, chosen by a hash of the text.
+    """Filters from rows with text and language: about ``sample_docs`` different texts of each language, chosen by a hash of the text.
 
-    All languages of the rows are learned. What reaches the driver is bounded by languages x lengths x ``grams_kept``.
+    Copies count as one text. All languages of the rows are learned. What reaches the driver is bounded by languages x lengths x ``grams_kept``.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r[0]: r[1] for r in rows.select("lang", F.xxhash64("text")).distinct().groupBy("lang").count().collect()}
     if not sizes:
         return build({})
     parts = 1 << 20
     limits = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(parts, -(-parts * sample_docs // n)))])
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < F.element_at(limits, F.col("lang")))
+    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < F.element_at(limits, F.col("lang"))).distinct()
 
     def counted(batches: Iterator) -> Iterator:
         import numpy as np

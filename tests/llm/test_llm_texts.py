@@ -197,6 +197,15 @@ def test_language_odd_texts(spark):
     assert language.identify(empty(spark), filters).collect() == []
 
 
+def test_language_learns_from_different_texts(spark):
+    import numpy as np
+
+    docs = [(k, " ".join(f"{chr(97 + k % 26)}{chr(97 + j % 26)}wort{'xyz'[k % 3] * (k % 5)}" for j in range(k, k + 30)), "en", "s") for k in range(120)]
+    once = language.train(odd(spark, docs), sample_docs=40)
+    often = language.train(odd(spark, docs + [(k, docs[k % 9][1], "en", "s") for k in range(900)]), sample_docs=40)
+    assert once.slots.any() and np.array_equal(once.slots, often.slots)
+
+
 # URLs
 
 
