@@ -1,12 +1,15 @@
-"""The ten operators on their whole tables, with the SQL that must give the same rows where SQL can say it."""
+"""The operators on their whole tables, with the SQL that must give the same rows where SQL can say it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from milepost.llm import decontaminate, language, licenses, lines, matrices, packing, pii, quality, simhash, urls
+from milepost.llm import (
+    decontaminate, language, licenses, lines, matrices, negatives, packing, pieces, pii, quality, ranked, simhash, urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +82,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.scan(docs, pii.fit(docs))
+
+
+@query("op11_hard_negatives", negatives.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_ranked_search", ranked.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_sentencepiece")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), decoded=True)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
