@@ -202,7 +202,7 @@ def pivot_share_orders(spark, sf_dir):
     return rounded(rounded(rounded(out, ["total"], 2), ["mean"], 3), ["share"], 6)
 
 
-_ADVERT_SQL = f"""raw AS (
+ADVERT_SQL = f"""raw AS (
   SELECT p_partkey AS advert_id, p_brand AS brand,
     CASE WHEN p_partkey % 31 = 0 THEN 0 ELSE CAST(floor(p_retailprice) AS INTEGER) END AS price,
     CASE WHEN p_partkey % 7 <> 0 THEN p_type END AS vehicletype,
@@ -224,7 +224,7 @@ med AS (SELECT brand, model, trunc(quantile_cont(power, 0.5)) AS med FROM sound
 
 @query(
     "car_adverts",
-    f"""WITH {_ADVERT_SQL}
+    f"""WITH {ADVERT_SQL}
     SELECT n.* REPLACE (coalesce(vehicletype, v.top) AS vehicletype, coalesce(gearbox, g.top) AS gearbox,
       coalesce(fueltype, f.top) AS fueltype, CASE WHEN power = 0 THEN med ELSE power END AS power)
     FROM sound n

@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from milepost.functions.scalars import arg_max
 from milepost.functions.statistics import number_from_md5
 from milepost.operators.evaluation import accuracy, rmse, roc_auc
+from milepost.operators.forest import prefix_scores
 from milepost.operators.profile import union_all
 from milepost.operators.scratch import written
 
@@ -217,6 +218,29 @@ def train_compare(df: DataFrame, spec: Spec) -> tuple[DataFrame, dict[str, objec
     return union_all(rows), fitted
 
 
+def against_baseline(df: DataFrame, spec: Spec, table: DataFrame) -> DataFrame:
+    """``table`` of ``train_compare`` with ``n_test``, ``baseline`` and ``better``.
+
+    The baseline says the same for every test row: the training rows' mean label (its RMSE), or their most frequent label,
+    the lower of equal ones (its accuracy, which a classifier must reach). Both are taken from the same split by key.
+    """
+    rows = df.select(spec.key, F.col(spec.label).cast("double").alias("label"))
+    train, test = split(rows, spec.key, spec.seed, spec.test_percent)
+    n = F.count(F.lit(1)).alias("n_test")
+    if spec.task == "regression":
+        usual = train.agg(F.avg("label")).scalar()
+        miss = F.col("label") - usual
+        one = test.agg(n, F.sqrt(F.avg(miss * miss)).alias("baseline"))
+        better = F.col("rmse") < F.col("baseline")
+    else:
+        counts = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+        usual = counts.agg(F.max(F.struct("n", -F.col("label")))).scalar()
+        one = test.agg(n, F.avg((F.col("label") == -usual["col2"]).cast("double")).alias("baseline"))
+        better = F.col("accuracy") >= F.col("baseline")
+    both = one.select(F.struct("n_test", "baseline")).scalar()
+    return table.withColumns({"n_test": both["n_test"], "baseline": both["baseline"]}).withColumn("better", better)
+
+
 def cross_validate(
     train: DataFrame,
     estimator: Estimator,
@@ -263,6 +287,43 @@ def cross_validate(
     return train.sparkSession.createDataFrame(rows, schema), model
 
 
+def search_forest(
+    train: DataFrame,
+    forest: RandomForestClassifier | RandomForestRegressor,
+    grid: Mapping[str, Sequence[int]],
+    task: str = "regression",
+    folds: int = 5,
+    refit: bool = True,
+) -> tuple[DataFrame, object]:
+    """K-fold score of every (numTrees, maxDepth) of ``grid`` from one forest per fold; ``train`` as in ``cross_validate``.
+
+    Each fold grows one forest with the largest number of trees and the largest depth; smaller ones are its first trees,
+    cut at the smaller depth. Every forest takes the feature subset of the largest. Returns rows (numTrees, maxDepth,
+    metric, best) and, with ``refit``, a forest of the best point grown on all rows; of equal points the first is best.
+    """
+    trees, depths, classes = list(grid["numTrees"]), list(grid["maxDepth"]), task != "regression"
+    largest = forest.copy({forest.numTrees: max(trees), forest.maxDepth: max(depths)})
+    train = train.persist()
+    try:
+        scores: dict[tuple[int, int], list[float]] = {(k, d): [] for k in trees for d in depths}
+        for fold in range(folds):
+            model = largest.fit(train.where(F.col("fold") != fold))
+            for r in prefix_scores(train.where(F.col("fold") == fold), model, trees, depths, classes).collect():
+                if r["n"]:
+                    scores[r["trees"], r["depth"]].append(1 - r["miss"] / r["n"] if classes else (r["miss"] / r["n"]) ** 0.5)
+        means = {point: sum(found) / len(found) if found else None for point, found in scores.items()}
+        known = [point for point in means if means[point] is not None]
+        best = (max if classes else min)(known, key=means.get) if known else None
+        model = None
+        if refit and best:
+            model = forest.copy({forest.numTrees: best[0], forest.maxDepth: best[1]}).fit(train)
+    finally:
+        train.unpersist()
+    rows = [(float(k), float(d), metric, (k, d) == best) for (k, d), metric in means.items()]
+    schema = "numTrees double, maxDepth double, metric double, best boolean"
+    return train.sparkSession.createDataFrame(rows, schema), model
+
+
 def feature_importance(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:
     """Rows (feature, importance), most important first; as many rows as features."""
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]

@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from milepost.operators.forest import prefix_scores
 from milepost.plans import training
 
 
@@ -73,6 +74,79 @@ def test_grid_keeps_the_highest_accuracy_and_the_lowest_error(rows):
     assert [r["regParam"] for r in table.collect() if r["best"]] == [0.0]
 
 
+def votes_one_tree_at_a_time(model, rows, classes):
+    """Running votes of the single trees: (rows, trees, classes or 1)."""
+    at = [r["features"] for r in rows]
+    if classes:
+        each = np.array([[np.array(t.predictRaw(x)) for t in model.trees] for x in at])
+        each = each / each.sum(axis=2, keepdims=True)
+    else:
+        each = np.array([[[t.predict(x)] for t in model.trees] for x in at])
+    return np.cumsum(each, axis=1)
+
+
+@pytest.mark.parametrize("classes", [True, False])
+def test_prefix_scores_are_those_of_the_first_trees(rows, classes):
+    data = training.prepare(rows.limit(400), spec(**({"label": "t", "task": "classification"} if classes else {})))
+    forest = training.forest_classifier(7, 6) if classes else training.forest_regressor(7, 6)
+    model, test = forest.fit(data.train), data.test.collect()
+    truth = np.array([r["label"] for r in test])
+    votes = votes_one_tree_at_a_time(model, test, classes)
+    got = {r["trees"]: (r["n"], r["miss"]) for r in prefix_scores(data.test.repartition(3), model, [1, 2, 5, 7], [6], classes).collect()}
+    assert set(got) == {1, 2, 5, 7}
+    for k, (n, miss) in got.items():
+        said = votes[:, k - 1]
+        want = (said.argmax(axis=1) != truth).sum() if classes else ((said[:, 0] / k - truth) ** 2).sum()
+        assert n == len(truth) and miss == pytest.approx(want)
+    whole = model.transform(data.test).collect()  # all trees: the forest's own prediction
+    own = sum(r["prediction"] != r["label"] for r in whole) if classes else sum((r["prediction"] - r["label"]) ** 2 for r in whole)
+    assert got[7][1] == pytest.approx(own)
+    with pytest.raises(ValueError):
+        prefix_scores(data.test, model, [8], [6], classes)
+
+
+@pytest.mark.parametrize("classes", [True, False])
+def test_a_cut_tree_is_the_tree_of_a_smaller_depth(rows, classes):
+    """Without sampling, forests of any depth can be grown singly and must score as the cut one does."""
+    data = training.prepare(rows.limit(500), spec(**({"label": "t", "task": "classification"} if classes else {})))
+    grow = lambda d: (training.forest_classifier(2, d) if classes else training.forest_regressor(2, d)).setBootstrap(False).setFeatureSubsetStrategy("all").fit(data.train)
+    got = {r["depth"]: r["miss"] for r in prefix_scores(data.test, grow(9), [2], [0, 1, 2, 4, 9], classes).collect()}
+    for depth, miss in got.items():
+        whole = grow(depth).transform(data.test).collect()
+        own = sum(r["prediction"] != r["label"] for r in whole) if classes else sum((r["prediction"] - r["label"]) ** 2 for r in whole)
+        assert miss == pytest.approx(own), depth
+
+
+def test_forest_search_scores_the_whole_grid(rows):
+    data = training.prepare(rows, spec(label="t", task="classification"))
+    grid = {"numTrees": [1, 4, 9], "maxDepth": [1, 3]}
+    table, model = training.search_forest(training.with_fold(data.train, "id", 3), training.forest_classifier(), grid, "classification", 3)
+    got = table.collect()
+    assert [(r["numTrees"], r["maxDepth"]) for r in got] == [(k, d) for k in (1, 4, 9) for d in (1, 3)]
+    best = [r for r in got if r["best"]]
+    assert len(best) == 1 and best[0]["metric"] == max(r["metric"] for r in got) > 0.8
+    assert (model.getNumTrees, model.getMaxDepth()) == (best[0]["numTrees"], best[0]["maxDepth"])
+    line = training.prepare(rows, spec())
+    table, none = training.search_forest(training.with_fold(line.train, "id", 3), training.forest_regressor(), grid, folds=3, refit=False)
+    got = table.collect()
+    assert none is None and [r["metric"] for r in got if r["best"]] == [min(r["metric"] for r in got)]
+    table, none = training.search_forest(training.with_fold(line.train, "id", 3).where("fold = 7"), training.forest_regressor(), grid, folds=0)
+    assert [r["metric"] for r in table.collect()] == [None] * 6 and none is None
+
+
+def test_baselines_of_the_split(spark, rows):
+    flat = spark.createDataFrame([("m", 1.0, 0.9, 0.5)], "model string, rmse double, accuracy double, roc_auc double")
+    train, test = training.split(rows, "id")
+    mean = train.agg(F.avg("y")).first()[0]
+    want = np.sqrt(np.mean([(r["y"] - mean) ** 2 for r in test.collect()]))
+    got = training.against_baseline(rows, spec(), flat).first()
+    assert got["baseline"] == pytest.approx(want) and got["n_test"] == test.count() and got["better"]
+    share = [r["t"] for r in train.collect()]
+    usual = int(sum(share) * 2 > len(share))
+    got = training.against_baseline(rows, spec(label="t", task="classification"), flat).first()
+    assert got["baseline"] == pytest.approx(np.mean([r["t"] == usual for r in test.collect()]))
+
+
 def test_save_and_load(spark, rows, tmp_path):
     ready = rows.withColumn("label", F.col("y"))
     model = Pipeline(stages=[training.assemble(["x", "z"]), training.linear_regression()]).fit(ready)
