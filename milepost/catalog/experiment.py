@@ -121,10 +121,13 @@ def _poisson_sql(u: str) -> str:
     return f"CASE {whens} ELSE {len(steps)} END"
 
 
+#: Enough for 25 replicates beyond each end of a 95 % interval.
+_REPLICATES = 1000
+
 _BOOT_SQL = f"""draws AS (
   SELECT p.*, b, CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|' || CAST(b AS VARCHAR)), 1, 8)) AS BIGINT)
     / 4294967296.0e0 AS u
-  FROM per_user p CROSS JOIN range(1, 21) r(b)
+  FROM per_user p CROSS JOIN range(1, {_REPLICATES + 1}) r(b)
 ),
 weighted AS (SELECT *, {_poisson_sql('u')} AS w FROM draws),
 diffs AS (
@@ -136,7 +139,7 @@ diffs AS (
 
 def _draws(spark, sf_dir):
     return experiment.bootstrap_differences(
-        _users(spark, sf_dir), "user_id", "cohort", "revenue", "A", "B", 20, weights="md5"
+        _users(spark, sf_dir), "user_id", "cohort", "revenue", "A", "B", _REPLICATES, weights="md5"
     )
 
 
@@ -173,7 +176,7 @@ def ab_result(spark, sf_dir):
     """Final table without the p-value, which has no SQL form."""
     report = experiment.ab_report(
         derive.ab_daily(spark, sf_dir), "user_id", "cohort", _SUMS, "A", "B", counts=["day"],
-        bootstrap={"revenue": 20}, weights="md5",
+        bootstrap={"revenue": _REPLICATES}, weights="md5",
     ).drop("p_value", "significant")
     report = rounded(report, ["a", "b", "change_pct", "ratio_pct"], 2)
     return rounded(report, ["ci_low", "ci_high"], 3)
@@ -194,7 +197,7 @@ def ab_report(spark, sf_dir):
     """Whole report: totals, change, p-value and interval."""
     report = experiment.ab_report(
         derive.ab_daily(spark, sf_dir), "user_id", "cohort", _SUMS, "A", "B", counts=["day"],
-        bootstrap={"revenue": 20}, weights="md5",
+        bootstrap={"revenue": _REPLICATES}, weights="md5",
     )
     report = rounded(report, ["a", "b", "change_pct", "ratio_pct"], 2)
     return rounded(rounded(report, ["ci_low", "ci_high"], 3), ["p_value"], 6)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,20 +81,43 @@ def number_from_md5(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
-def uniform_from_md5(*parts: Column) -> Column:
-    """Uniform in [0, 1), the same in any engine."""
-    return number_from_md5(*parts).cast("double") / F.lit(4294967296.0)
-
-
 def uniform_from_hash(*parts: Column) -> Column:
-    """Uniform in [0, 1) from xxhash64; much cheaper than md5."""
+    """Uniform in [0, 1) from xxhash64, as a column."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 32)).cast("double") / F.lit(4294967296.0)
 
 
 def poisson_weight(uniform: Column) -> Column:
-    """Poisson(1) count by inversion of a uniform."""
+    """Poisson(1) count by inversion of a uniform, as a column."""
     expr = None
     steps = poisson_steps()
     for k, edge in enumerate(steps):
         expr = (F if expr is None else expr).when(uniform < F.lit(edge), F.lit(k))
     return expr.otherwise(F.lit(len(steps)))
+
+
+def md5_uniforms(seeds: Sequence[str], replicates: np.ndarray) -> np.ndarray:
+    """Uniforms in [0, 1), seeds x replicates, from the first eight hex digits of md5 of ``seed|replicate``."""
+    tails = [b"|%d" % r for r in replicates]
+    out = np.empty((len(seeds), len(tails)), "uint32")
+    for i, seed in enumerate(seeds):
+        head = hashlib.md5(b"" if seed is None else str(seed).encode())
+        for j, tail in enumerate(tails):
+            whole = head.copy()
+            whole.update(tail)
+            out[i, j] = int.from_bytes(whole.digest()[:4], "big")
+    return out / 4294967296.0
+
+
+def mixed_uniforms(seeds: np.ndarray, replicates: np.ndarray) -> np.ndarray:
+    """Uniforms in [0, 1), seeds x replicates, by a 64-bit mix of a hashed seed and the replicate; much cheaper than md5."""
+    with np.errstate(over="ignore"):
+        x = seeds.astype("int64").view("uint64")[:, None] + replicates.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        x ^= x >> np.uint64(31)
+    return (x >> np.uint64(32)) / 4294967296.0
+
+
+def poisson_counts(uniforms: np.ndarray) -> np.ndarray:
+    """Poisson(1) counts by inversion of uniforms, as doubles."""
+    return np.searchsorted(poisson_steps(), uniforms, side="right").astype("float64")

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.functions.statistics import (
-    poisson_weight,
-    t_p_value,
-    uniform_from_hash,
-    uniform_from_md5,
-)
-from milepost.operators.ordered import exact_percentiles
+from milepost.functions.statistics import md5_uniforms, mixed_uniforms, poisson_counts, t_p_value
+
+#: Users and replicates whose weights a task draws at a time.
+BOOTSTRAP_ROWS, BOOTSTRAP_REPLICATES = 2048, 256
 
 
 def user_rollup(
@@ -102,30 +100,40 @@ def bootstrap_differences(
     replicates: int,
     weights: str = "hash",
 ) -> DataFrame:
-    """Rows (replicate, difference): mean of b minus mean of a under Poisson(1) resampling.
+    """Rows (replicate, difference): mean of b minus mean of a under Poisson(1) resampling, replicates from 1.
 
-    A weight depends only on (user, replicate), so any task can be retried. Rows meet their
-    replicates inside the map side and leave it as cohorts x replicates sums.
+    A weight depends only on (user, replicate), so any task can be retried. A task adds the weights of its rows to two
+    vectors of replicate sums per cohort, a block of rows and replicates at a time: rows are never multiplied by
+    replicates, and one row per replicate leaves each task. ``weights`` is ``hash``, or ``md5`` for numbers that any
+    engine can give (md5 of ``user|replicate``).
     """
-    uniform = {"hash": uniform_from_hash, "md5": uniform_from_md5}[weights]
+    draw = {"hash": mixed_uniforms, "md5": md5_uniforms}[weights]
+    seed = F.xxhash64(user) if weights == "hash" else F.col(user).cast("string")
     rows = users.where(F.col(cohort).isin(a, b) & F.col(metric).isNotNull()).select(
-        F.col(user).alias("id"), F.col(cohort).alias("cohort"), F.col(metric).cast("double").alias("x")
-    )
-    drawn = rows.withColumn(
-        "replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))
-    ).withColumn("w", poisson_weight(uniform(F.col("id"), F.col("replicate"))))
-    sums = (
-        drawn.where(F.col("w") > 0)
-        .groupBy("replicate", "cohort")
-        .agg(F.sum(F.col("w") * F.col("x")).alias("wx"), F.sum("w").alias("w"))
+        seed.alias("seed"), (F.col(cohort) == F.lit(b)).alias("in_b"), F.col(metric).cast("double").alias("x")
     )
-    mean = {
-        s: F.try_divide(
-            F.sum(F.when(F.col("cohort") == F.lit(v), F.col("wx"))),
-            F.sum(F.when(F.col("cohort") == F.lit(v), F.col("w"))),
-        )
-        for s, v in (("a", a), ("b", b))
-    }
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        wx, w = np.zeros((2, replicates)), np.zeros((2, replicates))
+        for batch in batches:
+            for at in range(0, batch.num_rows, BOOTSTRAP_ROWS):
+                part = batch.slice(at, BOOTSTRAP_ROWS)
+                seeds, in_b, x = (c.to_numpy(zero_copy_only=False) for c in part.columns)
+                for first in range(0, replicates, BOOTSTRAP_REPLICATES):
+                    numbers = np.arange(first, min(first + BOOTSTRAP_REPLICATES, replicates))
+                    drawn = poisson_counts(draw(seeds, numbers + 1))
+                    for side, own in enumerate((~in_b.astype(bool), in_b.astype(bool))):
+                        wx[side, numbers] += x[own] @ drawn[own]
+                        w[side, numbers] += drawn[own].sum(axis=0)
+        columns = [np.arange(1, replicates + 1), wx[0], w[0], wx[1], w[1]]
+        names = ["replicate", "wx_a", "w_a", "wx_b", "w_b"]
+        kinds = [pa.int32(), *[pa.float64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+    sums = rows.mapInArrow(run, "replicate int, wx_a double, w_a double, wx_b double, w_b double")
+    mean = {s: F.try_divide(F.sum(f"wx_{s}"), F.sum(f"w_{s}")) for s in "ab"}
     return sums.groupBy("replicate").agg((mean["b"] - mean["a"]).alias("difference"))
 
 

@@ -3,12 +3,15 @@ import math
 import random
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from milepost import schemas
 from milepost.functions import scalars
-from milepost.functions.statistics import poisson_steps, poisson_weight, student_p_value, uniform_from_hash
+from milepost.functions.statistics import (
+    md5_uniforms, mixed_uniforms, poisson_counts, poisson_steps, poisson_weight, student_p_value, uniform_from_hash,
+)
 from milepost.catalog import derive
 from milepost.operators import evaluation, experiment, prepare, profile, quality, scratch
 from milepost.operators.ordered import exact_percentiles, running_totals, with_bucket
@@ -125,6 +128,37 @@ def test_bootstrap_interval_holds_the_difference(spark):
     assert 0.7 < ci["ci_low"] < ci["ci_high"] < 1.3
 
 
+def test_bootstrap_sums_equal_one_row_at_a_time(spark, plan, monkeypatch):
+    """Any block of rows and replicates gives the sums of single weights; rows are not multiplied by replicates."""
+    rng = random.Random(9)
+    rows = [(i, "AB"[i % 2] if i % 7 else "C", rng.gauss(5, 2) if i % 5 else None, 0.0) for i in range(60)]
+    monkeypatch.setattr(experiment, "BOOTSTRAP_ROWS", 7)
+    monkeypatch.setattr(experiment, "BOOTSTRAP_REPLICATES", 4)
+    draws = experiment.bootstrap_differences(ab(spark, rows), "u", "c", "x", "A", "B", 11, "md5")
+    assert "Generate" not in plan(draws) and "Expand" not in plan(draws)
+    got = {r["replicate"]: r["difference"] for r in draws.collect()}
+    for b in range(1, 12):
+        sums = {"A": [0.0, 0], "B": [0.0, 0]}
+        for u, c, x, _ in rows:
+            if c in sums and x is not None:
+                number = int(hashlib.md5(f"{u}|{b}".encode()).hexdigest()[:8], 16) / 2**32
+                k = sum(number >= edge for edge in poisson_steps())
+                sums[c][0] += k * x
+                sums[c][1] += k
+        assert got[b] == pytest.approx(sums["B"][0] / sums["B"][1] - sums["A"][0] / sums["A"][1])
+    assert set(got) == set(range(1, 12))
+    few = experiment.bootstrap_differences(ab(spark, [(1, "A", 1.0, 0.0)]), "u", "c", "x", "A", "B", 3)
+    assert [r["difference"] for r in few.collect()] == [None] * 3
+
+
+def test_drawn_weights_are_poisson():
+    seeds = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 400)
+    for drawn in (mixed_uniforms(seeds, np.arange(1, 301)), md5_uniforms([str(s) for s in seeds], np.arange(1, 301))):
+        counts = poisson_counts(drawn)
+        assert counts.mean() == pytest.approx(1, abs=0.02) and counts.var() == pytest.approx(1, abs=0.03)
+        assert abs(np.corrcoef(counts[:, 0], counts[:, 1])[0, 1]) < 0.2 and abs(np.corrcoef(counts[0], counts[1])[0, 1]) < 0.2
+
+
 def test_modes_ties_and_all_null_group(spark):
     rows = [("a", "x"), ("a", "y"), ("a", None), ("b", None), ("c", "z"), (None, "q"), (None, None)]
     df = spark.createDataFrame(rows, "k string, v string")
