@@ -1,3 +1,4 @@
+import collections
 import datetime as dt
 import math
 import random
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 
 from milepost.functions.geo import EARTH_RADIUS_KM, Grid, haversine_km, local_time, zone_city
 from milepost.operators import visits
+from milepost.operators import nearest
 from milepost.operators.nearest import nearest_place
-from milepost.operators.pairs import pairs_within
+from milepost.operators.pairs import meetings, pairs_within
 from milepost.plans import geo_marts
 from milepost import schemas
 
@@ -230,3 +232,96 @@ def test_many_crowded_keys_are_all_cut(spark):
         sizes[c] = sizes.get(c, 0) + 1
     assert found.count() == sum(n * (n - 1) // 2 for n in sizes.values())
     assert found.select("user_id_left", "user_id_right").distinct().count() == found.count()
+
+
+def placed_events(spark, events, places, most, cell=50.0):
+    """What ``nearest_place`` looks at on the way: leaf cells with their cubes, and the places of the cells."""
+    flat = spark.createDataFrame(events, "id int, lat double, lon double")
+    axes = nearest.space_axes(F.col("lat"), F.col("lon"))
+    keyed = flat.withColumns({f"__f{a}": f for a, f in zip("xyz", nearest._finest(axes, cell))})
+    rows = nearest._place_rows(spark.createDataFrame(places, CITY_DDL), cell).cache()
+    leaves = list(nearest.cell_frontiers(keyed, rows, cell, most))
+    cubes = [(r["cx"], r["cy"], r["cz"], level) for level, frontier, _ in leaves for r in frontier.collect()]
+    held = [(r["cx"], r["cy"], r["cz"], level) for level, frontier, _ in leaves for r in nearest.cell_places(frontier, rows, level, cell).collect()]
+    return leaves, cubes, held
+
+
+def most_per_cell(rows):
+    return max(collections.Counter(rows).values())
+
+
+def nearest_is_right(spark, events, places, **more):
+    flat = spark.createDataFrame(events, "id int, lat double, lon double")
+    got = nearest_place(flat, spark.createDataFrame(places, CITY_DDL), inline_places=0, **more).collect()
+    assert len(got) == len(events)
+    by_name = dict((p[0], p[1:]) for p in places)
+    for r in got:
+        want = min(km((r["lat"], r["lon"]), p[1:]) for p in places)
+        assert r["km"] == pytest.approx(want, abs=1e-6)
+        assert km((r["lat"], r["lon"]), by_name[r["city"]]) == pytest.approx(want, abs=1e-6)
+
+
+def test_a_dense_cell_is_cut_until_few_places_are_left(spark):
+    rng = random.Random(21)
+    dense = [(f"d{i:04d}", 48.0 + rng.uniform(0, 0.3), 11.0 + rng.uniform(0, 0.3)) for i in range(3000)]
+    dense += [(f"copy {i}", 48.1, 11.1) for i in range(100)]  # one position, many names
+    places = dense + [("far", -40.0, 170.0)]
+    events = [(i, 48.0 + rng.uniform(0, 0.3), 11.0 + rng.uniform(0, 0.3)) for i in range(60)]
+    events += [(i, 48.1, 11.1) for i in range(60, 90)]
+    leaves, cubes, held = placed_events(spark, events, places, 20)
+    assert len(leaves) > 2 and max(n for n in collections.Counter(held).values()) <= 20
+    assert len(cubes) <= 60 * 20
+    nearest_is_right(spark, events, places, most_places=20)
+    tie = nearest_place(spark.createDataFrame([(1, 48.1, 11.1)], "id int, lat double, lon double"),
+                        spark.createDataFrame(places, CITY_DDL), inline_places=0, most_places=20).first()
+    assert (tie["city"], tie["km"]) == ("copy 0", 0.0)
+
+
+def test_a_far_cell_looks_at_few_cubes(spark):
+    """Events half the world from 2,000 places: the cubes on the way do not follow the number of places."""
+    rng = random.Random(22)
+    places = [(f"p{i:04d}", 60.0 + rng.uniform(0, 2), 20.0 + rng.uniform(0, 2)) for i in range(2000)]
+    events = [(i, -45.0 + rng.uniform(0, 1e-3), -130.0 + rng.uniform(0, 1e-3)) for i in range(20)]
+    leaves, cubes, held = placed_events(spark, events, places, 30)
+    assert most_per_cell(held) <= 30 and len(cubes) <= 20 * 30
+    assert all(frontier.count() <= 20 * 30 for _, frontier, _ in leaves)
+    nearest_is_right(spark, events, places, most_places=30)
+
+
+def test_places_at_one_distance_come_in_pages(spark, monkeypatch):
+    """No cut tells places on a circle about the event apart."""
+    monkeypatch.setattr(nearest, "PAGE", 16)
+    ring = [(f"r{i:02d}", 89.0, -180.0 + 5 * i) for i in range(72)]
+    nearest_is_right(spark, [(1, 90.0, 0.0), (2, 89.0, -175.0)], ring, most_places=8)
+    nearest_is_right(spark, [(1, 90.0, 0.0)], [*ring, ("z", 89.5, 77.0)], most_places=8)
+
+
+@pytest.mark.parametrize("cell, most", [(50.0, 3), (9000.0, 5), (20000.0, 2)])
+def test_any_cell_size_gives_the_nearest_place(spark, cell, most):
+    rng = random.Random(23)
+    point = lambda: (math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180))
+    places = [(f"p{i:03d}", *point()) for i in range(50)]
+    nearest_is_right(spark, [(i, *point()) for i in range(40)], places, cell_km=cell, most_places=most)
+
+
+def test_no_list_of_places_without_a_bound(spark, plan):
+    """Lists are taken of numbered pages only."""
+    places = spark.createDataFrame([(f"p{i}", i * 1.0, i * 1.0) for i in range(60)], CITY_DDL)
+    events = spark.createDataFrame([(1, 5.2, 5.1)], "id int, lat double, lon double")
+    text = plan(nearest_place(events, places))
+    assert "collect_list" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_a_pair_leaves_once_whatever_it_shares(spark):
+    """100 shared channels, 40 close members: one row for each pair, before any duplicate is dropped."""
+    rows = [(i, [f"c{c}" for c in range(100)] + [f"own{i}", None, "c1"], -33.86 + i * 1e-5, 151.2) for i in range(40)]
+    rows += [(99, ["c99"], -33.86, 151.2), (100, [], -33.86, 151.2), (101, None, -33.86, 151.2), (102, ["own3"], -33.86, 151.2)]
+    members = spark.createDataFrame(rows, "id int, ch array<string>, lat double, lon double")
+    pairs = 40 * 39 // 2 + 40 + 1
+    assert meetings(members, 1.0, "ch", "id").count() == pairs
+    # beyond the groups that a row carries a pair may leave again, and is dropped once
+    rows = [(i, [f"a{i}-{k}" for k in range(6)] + ["x", "y"], 10.0, 10.0) for i in range(9)]
+    members = spark.createDataFrame(rows, "id int, ch array<string>, lat double, lon double")
+    assert meetings(members, 1.0, "ch", "id", earlier=5).count() == 2 * 36
+    assert meetings(members, 1.0, "ch", "id", earlier=7).count() == 36
+    assert pairs_within(members, 1.0, "ch", "id", earlier=5, rows_per_block=2).count() == 36
