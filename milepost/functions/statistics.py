@@ -95,29 +95,40 @@ def poisson_weight(uniform: Column) -> Column:
     return expr.otherwise(F.lit(len(steps)))
 
 
-def md5_uniforms(seeds: Sequence[str], replicates: np.ndarray) -> np.ndarray:
-    """Uniforms in [0, 1), seeds x replicates, from the first eight hex digits of md5 of ``seed|replicate``."""
-    tails = [b"|%d" % r for r in replicates]
-    out = np.empty((len(seeds), len(tails)), "uint32")
-    for i, seed in enumerate(seeds):
-        head = hashlib.md5(b"" if seed is None else str(seed).encode())
-        for j, tail in enumerate(tails):
-            whole = head.copy()
-            whole.update(tail)
-            out[i, j] = int.from_bytes(whole.digest()[:4], "big")
-    return out / 4294967296.0
-
-
-def mixed_uniforms(seeds: np.ndarray, replicates: np.ndarray) -> np.ndarray:
-    """Uniforms in [0, 1), seeds x replicates, by a 64-bit mix of a hashed seed and the replicate; much cheaper than md5."""
-    with np.errstate(over="ignore"):
-        x = seeds.astype("int64").view("uint64")[:, None] + replicates.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-        x ^= x >> np.uint64(31)
-    return (x >> np.uint64(32)) / 4294967296.0
-
-
-def poisson_counts(uniforms: np.ndarray) -> np.ndarray:
-    """Poisson(1) counts by inversion of uniforms, as doubles."""
-    return np.searchsorted(poisson_steps(), uniforms, side="right").astype("float64")
+def uniforms(kind: str) -> Callable[[Sequence, np.ndarray], np.ndarray]:
+    """Function of (seeds, replicates) giving a uniform in [0, 1) for each pair, seeds x replicates.
+
+    ``md5`` takes texts and gives what any engine can: the first eight hex digits of md5 of ``seed|replicate``. ``hash``
+    takes hashed seeds and mixes them with the replicate in 64 bits, which is much cheaper. Both travel by value.
+    """
+
+    def md5(seeds: Sequence[str | None], replicates: np.ndarray) -> np.ndarray:
+        tails = [b"|%d" % r for r in replicates]
+        out = np.empty((len(seeds), len(tails)), "uint32")
+        for i, seed in enumerate(seeds):
+            head = hashlib.md5((seed or "").encode())
+            for j, tail in enumerate(tails):
+                whole = head.copy()
+                whole.update(tail)
+                out[i, j] = int.from_bytes(whole.digest()[:4], "big")
+        return out / 4294967296.0
+
+    def mixed(seeds: np.ndarray, replicates: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            x = seeds.astype("int64").view("uint64")[:, None] + replicates.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+            x ^= x >> np.uint64(31)
+        return (x >> np.uint64(32)) / 4294967296.0
+
+    return {"md5": md5, "hash": mixed}[kind]
+
+
+def poisson_counts() -> Callable[[np.ndarray], np.ndarray]:
+    """Function from uniforms to Poisson(1) counts, as doubles; travels by value."""
+    steps = poisson_steps()
+
+    def counts(drawn: np.ndarray) -> np.ndarray:
+        return np.searchsorted(steps, drawn, side="right").astype("float64")
+
+    return counts

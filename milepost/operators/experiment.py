@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.functions.statistics import md5_uniforms, mixed_uniforms, poisson_counts, t_p_value
+from milepost.functions.statistics import poisson_counts, t_p_value, uniforms
 
 #: Users and replicates whose weights a task draws at a time.
 BOOTSTRAP_ROWS, BOOTSTRAP_REPLICATES = 2048, 256
@@ -107,7 +107,8 @@ def bootstrap_differences(
     replicates, and one row per replicate leaves each task. ``weights`` is ``hash``, or ``md5`` for numbers that any
     engine can give (md5 of ``user|replicate``).
     """
-    draw = {"hash": mixed_uniforms, "md5": md5_uniforms}[weights]
+    draw, counted = uniforms(weights), poisson_counts()
+    rows_at_once, replicates_at_once = BOOTSTRAP_ROWS, BOOTSTRAP_REPLICATES
     seed = F.xxhash64(user) if weights == "hash" else F.col(user).cast("string")
     rows = users.where(F.col(cohort).isin(a, b) & F.col(metric).isNotNull()).select(
         seed.alias("seed"), (F.col(cohort) == F.lit(b)).alias("in_b"), F.col(metric).cast("double").alias("x")
@@ -118,12 +119,12 @@ def bootstrap_differences(
 
         wx, w = np.zeros((2, replicates)), np.zeros((2, replicates))
         for batch in batches:
-            for at in range(0, batch.num_rows, BOOTSTRAP_ROWS):
-                part = batch.slice(at, BOOTSTRAP_ROWS)
+            for at in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(at, rows_at_once)
                 seeds, in_b, x = (c.to_numpy(zero_copy_only=False) for c in part.columns)
-                for first in range(0, replicates, BOOTSTRAP_REPLICATES):
-                    numbers = np.arange(first, min(first + BOOTSTRAP_REPLICATES, replicates))
-                    drawn = poisson_counts(draw(seeds, numbers + 1))
+                for first in range(0, replicates, replicates_at_once):
+                    numbers = np.arange(first, min(first + replicates_at_once, replicates))
+                    drawn = counted(draw(seeds, numbers + 1))
                     for side, own in enumerate((~in_b.astype(bool), in_b.astype(bool))):
                         wx[side, numbers] += x[own] @ drawn[own]
                         w[side, numbers] += drawn[own].sum(axis=0)

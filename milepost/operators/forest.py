@@ -8,7 +8,6 @@ deep as any wanted, is applied once, and every (number of trees, depth) is score
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.functions import vector_to_array
@@ -21,22 +20,14 @@ from milepost.operators.scratch import new_path
 ROWS = 2048
 
 
-@dataclass(frozen=True)
-class Votes:
-    """What each leaf of a forest says when its tree is cut at some depth.
+def forest_votes(
+    spark: SparkSession, model, depths: Sequence[int], classes: bool
+) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """What each leaf of a fitted forest says when its tree is cut at some depth, and where the leaves of each tree start.
 
-    ``by_depth`` has (leaves of all trees, classes) shares for a classifier and (leaves, 1) means for a regressor; the
-    leaves of tree t start at ``first[t]``, in their order from left to right.
-    """
-
-    by_depth: dict[int, np.ndarray]
-    first: np.ndarray
-
-
-def forest_votes(spark: SparkSession, model, depths: Sequence[int], classes: bool) -> Votes:
-    """Votes of a fitted forest, read from the form it is saved in; as large as the model, which the driver holds anyway.
-
-    Two sister leaves that say the same are one leaf, as the learner prunes them too.
+    By depth, (leaves of all trees, classes) shares for a classifier and (leaves, 1) means for a regressor, leaves in their
+    order from left to right. Read from the form a model is saved in; as large as the model, which the driver holds
+    anyway. Two sister leaves that say the same are one leaf, as the learner prunes them too.
     """
     path = new_path(spark, "forest")
     model.write().overwrite().save(path)
@@ -64,7 +55,7 @@ def forest_votes(spark: SparkSession, model, depths: Sequence[int], classes: boo
                     stop[left[v]] = stop[right[v]] = stop[v]
             parts[d].append(vote[stop[left < 0]])
         first.append(first[-1] + int((left < 0).sum()))
-    return Votes({d: np.concatenate(p) for d, p in parts.items()}, np.array(first[:-1]))
+    return {d: np.concatenate(p) for d, p in parts.items()}, np.array(first[:-1])
 
 
 def prefix_scores(
@@ -77,24 +68,24 @@ def prefix_scores(
     """
     trees, depths = sorted(set(trees)), sorted(set(depths))
     votes = forest_votes(rows.sparkSession, model, depths, classes)
-    if trees[0] < 1 or trees[-1] > len(votes.first):
-        raise ValueError(f"a forest of {len(votes.first)} trees has no prefix of {trees[0]} to {trees[-1]}")
+    if trees[0] < 1 or trees[-1] > len(votes[1]):
+        raise ValueError(f"a forest of {len(votes[1])} trees has no prefix of {trees[0]} to {trees[-1]}")
     shared = rows.sparkSession.sparkContext.broadcast(votes)
-    ends = np.array(trees) - 1
+    ends, at_once = np.array(trees) - 1, ROWS
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        votes = shared.value
+        by_depth, start = shared.value
         n, miss = 0, np.zeros((len(depths), len(trees)))
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
+            for at in range(0, batch.num_rows, at_once):
+                part = batch.slice(at, at_once)
                 truth = part.column(0).to_numpy(zero_copy_only=False)
                 leaf = part.column(1).flatten().to_numpy(zero_copy_only=False).astype("int64").reshape(len(truth), -1)
                 n += len(truth)
                 for i, d in enumerate(depths):
-                    said = np.cumsum(votes.by_depth[d][votes.first + leaf], axis=1)[:, ends]
+                    said = np.cumsum(by_depth[d][start + leaf], axis=1)[:, ends]
                     if classes:
                         miss[i] += (said.argmax(axis=2) != truth[:, None]).sum(axis=0)
                     else:

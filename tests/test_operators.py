@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from milepost import schemas
 from milepost.functions import scalars
-from milepost.functions.statistics import (
-    md5_uniforms, mixed_uniforms, poisson_counts, poisson_steps, poisson_weight, student_p_value, uniform_from_hash,
-)
+from milepost.functions.statistics import poisson_counts, poisson_steps, poisson_weight, student_p_value, uniform_from_hash, uniforms
 from milepost.catalog import derive
 from milepost.operators import evaluation, experiment, prepare, profile, quality, scratch
 from milepost.operators.ordered import exact_percentiles, running_totals, with_bucket
@@ -153,8 +151,8 @@ def test_bootstrap_sums_equal_one_row_at_a_time(spark, plan, monkeypatch):
 
 def test_drawn_weights_are_poisson():
     seeds = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 400)
-    for drawn in (mixed_uniforms(seeds, np.arange(1, 301)), md5_uniforms([str(s) for s in seeds], np.arange(1, 301))):
-        counts = poisson_counts(drawn)
+    for drawn in (uniforms("hash")(seeds, np.arange(1, 301)), uniforms("md5")([str(s) for s in seeds], np.arange(1, 301))):
+        counts = poisson_counts()(drawn)
         assert counts.mean() == pytest.approx(1, abs=0.02) and counts.var() == pytest.approx(1, abs=0.03)
         assert abs(np.corrcoef(counts[:, 0], counts[:, 1])[0, 1]) < 0.2 and abs(np.corrcoef(counts[0], counts[1])[0, 1]) < 0.2
 
