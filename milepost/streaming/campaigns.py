@@ -10,10 +10,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from milepost import schemas
 from milepost.functions.scalars import hash_key
+from milepost.operators.scratch import written
 from milepost.sources import jdbc, kafka
 
 WATERMARK = "60 minutes"
-SALTS = 16
+#: Subscribers of one restaurant that one task should get at most.
+TARGET_ROWS = 200_000
+#: State kept on local disk, with only its changes written to the checkpoint.
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 #: The columns that tell a message from another, and those that are sent.
 KEYS = (
     "restaurant_id", "adv_campaign_id", "adv_campaign_datetime_start",
@@ -45,24 +52,42 @@ def active_campaigns(campaigns: DataFrame, now: Column | None = None) -> DataFra
     )
 
 
+def restaurant_salts(subscribers: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """(restaurant_id, salts) of the restaurants with more than ``target_rows`` subscribers, usually few.
+
+    Counted once when a stream is built and written, so that micro-batches read a small table.
+    """
+    counts = subscribers.groupBy(F.col("restaraunt_id").alias("restaurant_id")).agg(F.count(F.lit(1)).alias("n"))
+    large = counts.where((F.col("n") > target_rows) & F.col("restaurant_id").isNotNull())
+    return written(large.select("restaurant_id", F.ceil(F.col("n") / target_rows).cast("int").alias("salts")), "restaurant-salts")
+
+
 def match_subscribers(
     campaigns: DataFrame,
     subscribers: DataFrame,
     now: Column | None = None,
-    salts: int = SALTS,
+    salts: int | DataFrame | None = None,
 ) -> DataFrame:
     """One row per campaign record and subscriber of its restaurant.
 
-    A popular restaurant's subscribers are spread over ``salts`` sub-keys and the campaign records repeated. No side is
-    hinted: Spark's own size check decides how they meet.
+    A popular restaurant's subscribers are spread over sub-keys and only its campaign records repeated. ``salts`` is a
+    result of ``restaurant_salts``, one number for all restaurants, or None to count them here. No side is hinted: Spark's
+    own size check decides how they meet.
     """
     clock = F.current_timestamp() if now is None else now
     people = subscribers.select(F.col("restaraunt_id").alias("restaurant_id"), "client_id")
-    salt = F.pmod(F.xxhash64("client_id"), F.lit(salts)).cast("int")
-    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    if isinstance(salts, int):
+        cut = {"campaigns": campaigns, "people": people}
+        number = F.lit(salts)
+    else:
+        sizes = restaurant_salts(subscribers) if salts is None else salts
+        cut = {"campaigns": campaigns.join(sizes, "restaurant_id", "left"), "people": people.join(sizes, "restaurant_id", "left")}
+        number = F.coalesce(F.col("salts"), F.lit(1))
+    spread = F.explode(F.sequence(F.lit(0), number - 1))
+    salt = F.pmod(F.xxhash64("client_id"), number).cast("int")
     matched = (
-        campaigns.withColumn("salt", spread)
-        .join(people.withColumn("salt", salt), ["restaurant_id", "salt"])
+        cut["campaigns"].withColumn("salt", spread).drop("salts")
+        .join(cut["people"].withColumn("salt", salt).drop("salts"), ["restaurant_id", "salt"])
         .drop("salt")
     )
     return matched.withColumn("trigger_datetime_created", clock)
@@ -73,7 +98,7 @@ def campaign_messages(
     subscribers: DataFrame,
     now: Column | None = None,
     watermark: str = WATERMARK,
-    salts: int = SALTS,
+    salts: int | DataFrame | None = None,
 ) -> DataFrame:
     """Active campaigns per subscriber, once per key within the watermark.
 
@@ -158,8 +183,13 @@ def start(
     available_now: bool = False,
     every: str | None = None,
     name: str | None = None,
+    state: Mapping[str, str] = ROCKSDB,
 ) -> StreamingQuery:
-    """Start the query; its checkpoint belongs to the query, and the caller decides when it ends."""
+    """Start the query; its checkpoint belongs to the query, and the caller decides when it ends.
+
+    ``state`` is the state store of the query, held for as long as it starts and written into its checkpoint: RocksDB, so
+    that the keys of the last hour neither fill the executors' heap nor are written out whole with every micro-batch.
+    """
     writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
@@ -167,4 +197,12 @@ def start(
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    return writer.start()
+    conf = messages.sparkSession.conf
+    before = {k: conf.get(k, None) for k in state}
+    for k, v in state.items():
+        conf.set(k, v)
+    try:
+        return writer.start()
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)

@@ -110,3 +110,44 @@ def test_subscribers_meet_campaigns_without_a_hint(spark):
     matched = campaigns.match_subscribers(batch, people, F.lit(NOW))
     assert matched.count() == 200
     assert "strategy=broadcast" not in matched._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salts_follow_the_number_of_subscribers(spark):
+    people = spark.range(1000).selectExpr("string(id) as client_id", "if(id < 900, 'r1', concat('r', id)) as restaraunt_id")
+    salts = campaigns.restaurant_salts(people, target_rows=100)
+    assert [tuple(r) for r in salts.collect()] == [("r1", 9)]
+    records = [("k", body(), NOW), ("k", body(restaurant="r950", campaign="c2"), NOW), ("k", body(restaurant="none"), NOW)]
+    batch = campaigns.parse_campaigns(spark.createDataFrame(records, INPUT))
+    out = campaigns.match_subscribers(batch, people, F.lit(NOW), salts)
+    assert out.count() == 901 and out.distinct().count() == 901 and "salts" not in out.columns
+    assert campaigns.restaurant_salts(people).count() == 0
+    assert campaigns.match_subscribers(batch, people, F.lit(NOW)).count() == 901
+
+
+@pytest.mark.parametrize("state", [campaigns.ROCKSDB, {}])
+def test_state_survives_a_restart_and_is_evicted(spark, tmp_path, state):
+    """Either state store drops repeats after a restart and forgets keys behind the watermark."""
+    job = Job(spark, tmp_path)
+    at = lambda minute, hour=10: dt.datetime(2024, 1, 1, hour, minute)
+
+    def run():
+        stream = spark.readStream.schema(INPUT).parquet(job.folder)
+        messages = campaigns.campaign_messages(stream, job.people, now=F.lit(NOW))
+        query = campaigns.start(messages, campaigns.parquet_sink(job.feedback + "/out"), job.state, available_now=True, state=state)
+        query.awaitTermination()
+        return [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    land(spark, job.folder, [("k", body(), at(0)), ("k", body(), at(5))])
+    states = run()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+    assert any("rocksdb" in k.lower() for k in states[-1]["customMetrics"]) == (state is campaigns.ROCKSDB)
+    land(spark, job.folder, [("k", body(), at(20))])
+    run()
+    assert spark.read.parquet(job.feedback + "/out").count() == 2
+    land(spark, job.folder, [("k", body(restaurant="r2", campaign="c2"), at(0, 14))])
+    run()
+    land(spark, job.folder, [("k", body(restaurant="r2", campaign="c2"), at(10, 14))])
+    states = run()
+    assert states[-1]["numRowsTotal"] == 1
+    assert spark.read.parquet(job.feedback + "/out").count() == 3
