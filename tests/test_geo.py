@@ -325,3 +325,21 @@ def test_a_pair_leaves_once_whatever_it_shares(spark):
     assert meetings(members, 1.0, "ch", "id", earlier=5).count() == 2 * 36
     assert meetings(members, 1.0, "ch", "id", earlier=7).count() == 36
     assert pairs_within(members, 1.0, "ch", "id", earlier=5, rows_per_block=2).count() == 36
+
+
+def test_packed_moments_order_as_pairs(spark):
+    moments = [None, dt.datetime(1, 1, 2), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(1970, 1, 1), dt.datetime(2024, 5, 5, 1, 2, 3, 4), dt.datetime(9999, 12, 30)]
+    numbers = [None, -(2**63), -1, 0, 1, 2**63 - 1]
+    pairs = [(m, n) for m in moments for n in numbers]
+    df = spark.createDataFrame([(k, m, n) for k, (m, n) in enumerate(pairs)], "k int, at timestamp, n bigint")
+    p = visits.packed_moment(F.col("at"), F.col("n"))
+    got = df.select("k", p.alias("p"), visits.packed_at(p).eqNullSafe(F.col("at")).alias("same")).collect()
+    assert all(r["same"] for r in got)
+    assert [r["k"] for r in sorted(got, key=lambda r: r["p"])] == list(range(len(pairs)))
+
+
+def test_raw_rows_are_hash_aggregated(spark, plan):
+    events = spark.createDataFrame([], schemas.EVENTS)
+    cities = spark.createDataFrame(CITIES, CITY_DDL)
+    for mart in (geo_marts.user_geo_mart(events, cities), geo_marts.last_locations(events, cities)):
+        assert "SortAggregate" not in plan(mart)
