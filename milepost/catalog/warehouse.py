@@ -72,6 +72,22 @@ def hub_increment(spark, sf_dir):
     )
 
 
+@query(
+    "hub_increment_bitmaps",
+    f"""WITH {derive.LOG_SQL} SELECT *, {_LOAD_SQL} FROM h_users
+    WHERE hk_user_id NOT IN (SELECT hk_user_id FROM h_users WHERE user_id % 2 = 0)""",
+)
+def hub_increment_bitmaps(spark, sf_dir):
+    """The same second load with the ids of the log's two halves, and of the hub, held as merged bitmaps."""
+    log, users, _ = _hubs(spark, sf_dir)
+    first = F.col("event_dt") < F.lit("2024-01-10").cast("timestamp_ntz")
+    days = [warehouse.id_bitmaps(log.where(part), "user_id") for part in (first, ~first | first.isNull())]
+    known = warehouse.id_bitmaps(users.where(F.col("user_id") % 2 == 0), "user_id")
+    return warehouse.load_hub_by_bitmaps(
+        derive.registered_users(spark, sf_dir), warehouse.merge_bitmaps(days), known, "hk_user_id", "user_id", load_dt=_load_dt()
+    )
+
+
 @query("link_load", f"WITH {derive.LOG_SQL} SELECT *, {_LOAD_SQL} FROM link")
 def link_load(spark, sf_dir):
     return warehouse.load_link(*_hubs(spark, sf_dir), load_dt=_load_dt())
@@ -161,6 +177,18 @@ def group_conversion(spark, sf_dir):
     return warehouse.group_conversion(log, derive.dialogs(spark, sf_dir), groups)
 
 
+@query("group_conversion_bitmaps", _CONVERSION_SQL)
+def group_conversion_bitmaps(spark, sf_dir):
+    """All groups from bitmaps of users that are merged day by day."""
+    log, _, groups = _hubs(spark, sf_dir)
+    dialogs = derive.dialogs(spark, sf_dir).withColumnRenamed("message_group", "group_id").where("group_id is not null")
+    half = F.col("user_id") % 3 == 0
+    added = log.where(F.col("event") == "add")
+    parts = [warehouse.id_bitmaps(added.where(c), "user_id", ["group_id"]) for c in (half, ~half)]
+    wrote = warehouse.id_bitmaps(dialogs, "message_from", ["group_id"])
+    return warehouse.group_conversion_from(warehouse.merge_bitmaps(parts, ["group_id"]), wrote, groups)
+
+
 @query("group_conversion_all", _CONVERSION_SQL)
 def group_conversion_all(spark, sf_dir):
     log, _, groups = _hubs(spark, sf_dir)
@@ -252,7 +280,7 @@ def object_pages(spark, sf_dir):
     )
     pages = rows.groupBy("page").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("o")), F.lit("]")).alias("value"))
     pages.select("page", "value").write.partitionBy("page").text(path)
-    objects = files.read_named_objects(spark, path)
+    objects = files.read_named_objects(spark, path, multi_line=False)
     staged = objects.where(F.col("object_id").cast("long") % 3 == 0)
     return warehouse.load_staging(objects, staged, ["object_id"])
 
@@ -302,6 +330,19 @@ def group_log_file(spark, sf_dir):
     return spark.read.schema(schemas.GROUP_LOG).parquet(table)
 
 
+@query(
+    "repeated_load",
+    f"""WITH {derive.LOG_SQL}
+    SELECT CASE WHEN group_id % 2 = 0 THEN 'even' ELSE 'odd' END AS load_id, group_id, user_id, event, event_dt FROM log""",
+)
+def repeated_load(spark, sf_dir):
+    """Two loads of the log into one table, each of them sent twice."""
+    table, log = new_path(spark, "loads"), derive.group_log(spark, sf_dir)
+    for name, rest in (("even", 0), ("odd", 1)) * 2:
+        files.load_once(log.where(F.pmod("group_id", F.lit(2)) == rest), table, name, ["group_id", "user_id", "event", "event_dt"])
+    return spark.read.parquet(table).select("load_id", "group_id", "user_id", "event", "event_dt")
+
+
 @query(
     "corrupt_lines",
     """SELECT CAST(p_partkey AS INTEGER) AS id,

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.scalars import hash_key, moment_id
+from milepost.operators.profile import union_all
 from milepost.operators.skew import lookup_join
 
 
@@ -185,8 +186,15 @@ def group_conversion(
         .groupBy(F.col("message_group").alias("group_id"))
         .agg(F.count_distinct("message_from").alias("cnt_users_in_group_with_messages"))
     )
+    rows = _conversion(added, wrote, hub_groups)
+    if k is not None:
+        rows = rows.orderBy("registration_dt", "group_id").limit(k)
+    return rows.drop("group_id")
+
+
+def _conversion(added: DataFrame, wrote: DataFrame, hub_groups: DataFrame) -> DataFrame:
     share = F.try_divide("cnt_users_in_group_with_messages", "cnt_added_users")
-    rows = (
+    return (
         added.join(wrote, "group_id")
         .join(hub_groups.select("group_id", "hk_group_id", "registration_dt"), "group_id")
         .select(
@@ -198,9 +206,63 @@ def group_conversion(
             "group_id",
         )
     )
-    if k is not None:
-        rows = rows.orderBy("registration_dt", "group_id").limit(k)
-    return rows.drop("group_id")
+
+
+def id_bitmaps(rows: DataFrame, ids: str, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, bucket, bits): the distinct non-null whole-number ids of each key, exactly, 32,768 of them in a row."""
+    at = F.col(ids).cast("bigint")
+    known = rows.where(at.isNotNull())
+    return known.groupBy(*keys, F.bitmap_bucket_number(at).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")
+    )
+
+
+def merge_bitmaps(parts: Sequence[DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """The union of the ids of several ``id_bitmaps`` tables, for example of a new day and all days before."""
+    return union_all(list(parts)).groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_counts(bitmaps: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Number of distinct ids of each key."""
+    return bitmaps.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias(name))
+
+
+def in_bitmaps(rows: DataFrame, bitmaps: DataFrame, ids: str, found: bool = True) -> DataFrame:
+    """The rows whose id is (or, with ``found=False``, is not) among the ids of a table without keys; null ids are not."""
+    at = F.col(ids).cast("bigint")
+    place = F.bitmap_bit_position(at)
+    byte = F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+    bit = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.lit(1) * F.pow(F.lit(2), place % 8).cast("int")) != 0
+    met = lookup_join(rows.withColumn("bucket", F.bitmap_bucket_number(at)), bitmaps.select("bucket", "bits"), ["bucket"], "left")
+    held = F.coalesce(bit, F.lit(False))
+    return met.where(held if found else ~held).drop("bucket", "bits")
+
+
+def load_hub_by_bitmaps(
+    registered: DataFrame,
+    seen: DataFrame,
+    known: DataFrame,
+    hub_key: str,
+    natural_key: str,
+    load_dt: Column | None = None,
+    load_src: str = "s3",
+) -> DataFrame:
+    """``load_hub`` where the ids of the log (``seen``) and of the hub (``known``) are bitmap tables.
+
+    Registered rows meet one row per 32,768 ids, whatever the number of log lines and of loads before. Merging today's
+    ids into ``seen`` and the loaded ones into ``known`` keeps both for the next load.
+    """
+    used = in_bitmaps(registered.select("id", "registration_dt").distinct(), seen, "id")
+    fresh = in_bitmaps(used, known, "id", found=False)
+    rows = fresh.select(hash_key(F.col("id")).alias(hub_key), F.col("id").alias(natural_key), "registration_dt")
+    return rows.withColumns(_load_columns(load_dt, load_src))
+
+
+def group_conversion_from(added: DataFrame, wrote: DataFrame, hub_groups: DataFrame) -> DataFrame:
+    """``group_conversion`` of all groups from bitmap tables by ``group_id`` of the users who joined and who wrote."""
+    a = bitmap_counts(added, ["group_id"], "cnt_added_users")
+    w = bitmap_counts(wrote, ["group_id"], "cnt_users_in_group_with_messages")
+    return _conversion(a, w, hub_groups).drop("group_id")
 
 
 def oldest_groups(groups: DataFrame, k: int = 10) -> DataFrame:

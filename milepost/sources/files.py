@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +42,8 @@ def read_csv(
 
     ``renamed`` maps names of the file to names of the schema. A column of the schema that no header names raises.
     Columns are nullable; a value that does not fit is null, and, if asked, what the file held in a line with such a
-    value is kept as text in ``_corrupt_record``. All files of a path carry one header.
+    value is kept as text in ``_corrupt_record``. All files of a path carry one header: Spark compares each file's with the
+    first one's and fails on a file with another.
     """
     reader = spark.read.options(header=True, sep=sep, mode="PERMISSIVE")
     names = reader.csv(path).columns
@@ -48,10 +51,9 @@ def read_csv(
     held = {(renamed or {}).get(n, n): n for n in names}
     if absent := [f.name for f in wanted if f.name not in held]:
         raise ValueError(f"no column {', '.join(absent)} in the header {', '.join(names)} of {path}")
-    places = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
-    fields = places.add(CORRUPT, StringType())
-    rows = reader.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv(path)
-    text = {n: F.col(f"c{i}") for i, n in enumerate(names)}
+    fields = StructType([StructField(n, StringType()) for n in names]).add(CORRUPT, StringType())
+    rows = reader.schema(fields).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(path)
+    text = {n: F.col(f"`{n}`") for n in names}
     typed = {f.name: text[held[f.name]].try_cast(f.dataType) for f in wanted}
     columns = [v.alias(k) for k, v in typed.items()]
     if keep_corrupt:
@@ -105,6 +107,40 @@ def append_rows(
     ).parquet(path)
 
 
+def load_once(df: DataFrame, path: str, load_id: str, columns: Sequence[str] | None = None, max_rows_per_file: int = 5_000_000) -> bool:
+    """Append a load to the table at ``path`` as the partition ``load_id=<id>``, once; whether this call has published it.
+
+    The rows are written to a folder that readers do not see (its name begins with an underscore) and published by one
+    rename. A load that is there is not written again, and one that broke off before its rename has left nothing to be
+    read: its repetition writes anew. On object stores, whose rename is not one step, publish through a table format.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9.-]+", load_id):
+        raise ValueError(f"a load id has letters, digits, dots and dashes, not {load_id!r}")
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    final = hadoop.Path(f"{path.rstrip('/')}/load_id={load_id}")
+    store = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.exists(final):
+        return False
+    staged = f"{path.rstrip('/')}/_staged/{load_id}-{uuid.uuid4().hex}"
+    rows = df if columns is None else df.select(*columns)
+    rows.write.option("maxRecordsPerFile", max_rows_per_file).parquet(staged)
+    return publish(store, hadoop.Path(staged), final)
+
+
+def publish(store, staged, final) -> bool:
+    """Rename a staged folder to its final place; False where another writer of the same load came first."""
+    if store.exists(final) or not store.rename(staged, final):
+        store.delete(staged, True)
+        return False
+    # A rename onto a folder that has just appeared puts the staged one inside it.
+    inside = final.suffix("/" + staged.getName())
+    if store.exists(inside):
+        store.delete(inside, True)
+        return False
+    return True
+
+
 def read_labelled_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """File tree whose directory names are labels: (path, label, length, content).
 

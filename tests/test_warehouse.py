@@ -193,3 +193,64 @@ def test_group_log_with_its_time_named_otherwise(spark, tmp_path):
     (tmp_path / "log.csv").write_text("group_id,user_id,user_id_from,event,datetime\n1,2,,add,2024-01-05 10:00:00\n")
     row = files.read_group_log(spark, str(tmp_path / "log.csv")).first()
     assert (row["group_id"], row["user_id_from"], row["event"], str(row["event_dt"])) == (1, None, "add", "2024-01-05 10:00:00")
+
+
+def test_a_file_with_another_header_is_refused(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,size\n1,7\n")
+    (folder / "b.csv").write_text("id,size\n2,8\n")
+    assert sorted(map(tuple, files.read_csv(spark, str(folder), "id int, size int").collect())) == [(1, 7), (2, 8)]
+    (folder / "c.csv").write_text("size,id\n9,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(folder), "id int, size int").collect()
+
+
+def test_a_load_is_published_once(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "loads")
+    df = spark.range(10).selectExpr("id as a", "id as b")
+    assert files.load_once(df, table, "day-1", ["a"]) and not files.load_once(df, table, "day-1", ["a"])
+    assert spark.read.parquet(table).count() == 10
+
+    def crash(*args):
+        raise RuntimeError("lost between writing and publishing")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "publish", crash)
+        with pytest.raises(RuntimeError):
+            files.load_once(df, table, "day-2", ["a"])
+    assert spark.read.parquet(table).count() == 10  # nothing of the broken load is read
+    assert files.load_once(df, table, "day-2", ["a"]) and not files.load_once(df, table, "day-2", ["a"])
+    assert sorted((r["load_id"], r["n"]) for r in spark.read.parquet(table).groupBy("load_id").agg(F.count("*").alias("n")).collect()) == [("day-1", 10), ("day-2", 10)]
+    # two writers of one load: the second finds it published and leaves nothing
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    final, late = hadoop.Path(f"{table}/load_id=day-2"), hadoop.Path(f"{table}/_staged/late")
+    store = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    df.write.parquet(f"{table}/_staged/late")
+    assert not files.publish(store, late, final) and not store.exists(late)
+    with pytest.raises(ValueError):
+        files.load_once(df, table, "day/3")
+
+
+def test_bitmaps_hold_exact_ids(spark):
+    ids = [None, 0, 1, 7, 8, 32767, 32768, 32769, 65536, 10**9, 10**9, -1, -32768, -40000]
+    rows = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "id bigint, g int")
+    whole = warehouse.id_bitmaps(rows, "id")
+    merged = warehouse.merge_bitmaps([warehouse.id_bitmaps(rows.where(f"g = {g}"), "id") for g in (0, 1)])
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    by_g = {r["g"]: r["n"] for r in warehouse.bitmap_counts(warehouse.id_bitmaps(rows, "id", ["g"]), ["g"], "n").collect()}
+    assert by_g == {g: len({i for k, i in enumerate(ids) if i is not None and k % 2 == g}) for g in (0, 1)}
+    asked = spark.createDataFrame([(i,) for i in [*ids, 2, 9, 32766, 65535, -2, 10**9 + 1]], "id bigint")
+    some = warehouse.id_bitmaps(rows.where("g = 0"), "id")
+    there = {i for k, i in enumerate(ids) if k % 2 == 0 and i is not None}
+    assert {r["id"] for r in warehouse.in_bitmaps(asked, some, "id").collect()} == there
+    assert {r["id"] for r in warehouse.in_bitmaps(asked, some, "id", found=False).collect()} == {*ids, 2, 9, 32766, 65535, -2, 10**9 + 1} - there
+
+
+def test_load_time_lies_between_two_clocks(spark):
+    users = spark.createDataFrame([(1, T0)], "id int, registration_dt timestamp_ntz")
+    log = spark.createDataFrame([(1,)], "user_id int")
+    clock = lambda: spark.sql("select current_timestamp()::timestamp_ntz as t").first()["t"]
+    before = clock()
+    row = warehouse.load_hub(users, log, "user_id", "hk", "user_id").first()
+    assert before <= row["load_dt"] <= clock() and row["load_src"] == "s3"
