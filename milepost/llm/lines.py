@@ -1,8 +1,8 @@
 """Removal of boilerplate lines by the number of distinct sites that carry them.
 
-One aggregation merges HyperLogLog sketches of sites and of surroundings per line hash. Estimates far from
-the limit decide; lines near it get exact distinct counts. A line must also occur in many surroundings
-(the lines before and after it): whole copies of one document, however widely spread, are not boilerplate.
+One aggregation merges HyperLogLog sketches of sites and of documents per line hash, where documents with the same set of
+lines count as one. Estimates far from the limit decide; lines near it get exact distinct counts. So a line is boilerplate
+where many sites and many different documents have it, and whole copies of one document, however widely spread, are not.
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A line of at least so many sites and surroundings is boilerplate.
+from milepost.operators.scratch import written
+
+#: A line on at least so many sites, in at least so many different documents, is boilerplate.
 SITES = 10
 #: Size of the sketches (log2 of registers): a standard error of 1.6 %.
 LG_K = 12
@@ -25,44 +27,36 @@ def _key(line: Column) -> Column:
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """One row per non-blank line: doc, body, site, pos, line (hash), about (hash of the lines next to it)."""
+    """One row per non-blank line: doc, body and chars of its text, pos, line hash (h, h2), hashes of the site and of the text's set of lines."""
     keys = F.transform(F.split("text", "\n"), lambda x: _key(x))
-    hashed = rows.select(
-        "doc", "site", F.xxhash64("text").alias("body"), F.length("text").alias("chars"),
-        F.transform(keys, lambda x: F.struct(F.xxhash64(x).alias("h"), F.hash(x).alias("h2"), (x == "").alias("blank"))).alias("lines"),
-    )
-    at = F.explode(
-        F.transform(
-            "lines",
-            lambda x, i: F.struct(
-                i.alias("pos"), x["h"].alias("h"), x["h2"].alias("h2"), x["blank"].alias("blank"),
-                F.xxhash64(
-                    F.coalesce(F.when(i > 0, F.get("lines", i - 1)["h"]), F.lit(-1).cast("bigint")),
-                    F.coalesce(F.get("lines", i + 1)["h"], F.lit(-2).cast("bigint")),
-                ).alias("about"),
-            ),
-        )
+    hashed = F.transform(keys, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"), F.hash(x).alias("h2"), (x == "").alias("blank")))
+    full = rows.select(
+        "doc", F.xxhash64("site").alias("site"), F.xxhash64("text").alias("body"), F.length("text").alias("chars"),
+        F.filter(hashed, lambda x: ~x["blank"]).alias("lines"),
     )
-    return hashed.select("doc", "site", "body", "chars", at.alias("at")).select("doc", "site", "body", "chars", "at.*").where("NOT blank").drop("blank")
+    whole = F.xxhash64(F.array_sort(F.array_distinct(F.col("lines.h"))))
+    return full.select("doc", "site", "body", "chars", whole.alias("whole"), F.inline("lines")).drop("blank")
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """(h, h2, first): hashes of the boilerplate lines and the smallest document id of each."""
+    margin = max(2, round(NEAR * sites))
     merged = lines.groupBy("h", "h2").agg(
         F.count("*").alias("n"), F.min("doc").alias("first"),
         F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("sites"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("about", LG_K)).alias("abouts"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("whole", LG_K)).alias("wholes"),
     ).where(F.col("n") >= sites)
-    margin = max(2, round(NEAR * sites))
-    low = F.least("sites", "abouts")
-    sure = merged.where(low >= sites + margin).select("h", "h2", "first")
-    near = merged.where((low < sites + margin) & (low > sites - margin)).select("h", "h2", "first")
-    within = lines.select("h", "h2", "site", "about").join(near.select("h", "h2"), ["h", "h2"], "left_semi")
-    exact = None
-    for column in ("site", "about"):
-        counted = within.select("h", "h2", column).distinct().groupBy("h", "h2").count().where(F.col("count") >= sites).drop("count")
-        exact = counted if exact is None else exact.join(counted, ["h", "h2"])
-    return sure.unionByName(near.join(exact, ["h", "h2"]))
+    low = F.least("sites", "wholes")
+    # Few lines get so far; written once, they serve both sides and the exact counts.
+    likely = written(merged.where(low > sites - margin).select("h", "h2", "first", low.alias("low")), "likely-lines")
+    near = likely.where(F.col("low") < sites + margin)
+    # Both kinds of distinct values in one pass: values are made distinct before they meet by line.
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("site").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("whole").alias("value")))
+    within = lines.join(near.select("h", "h2"), ["h", "h2"], "left_semi").select("h", "h2", F.inline(kinds)).distinct()
+    counted = within.groupBy("h", "h2").agg(F.count_if(F.col("kind") == 0).alias("sites"), F.count_if(F.col("kind") == 1).alias("wholes"))
+    exact = counted.where(F.least("sites", "wholes") >= sites).select("h", "h2")
+    sure = likely.where(F.col("low") >= sites + margin).select("h", "h2", "first")
+    return written(sure.unionByName(near.join(exact, ["h", "h2"]).select("h", "h2", "first")), "boilerplate")
 
 
 def without_boilerplate(
@@ -102,14 +96,11 @@ WITH cut AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents),
 keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS k FROM cut),
-about AS (
-  SELECT *, lag(k) OVER (PARTITION BY doc_id ORDER BY pos) AS before, lead(k) OVER (PARTITION BY doc_id ORDER BY pos) AS after
-  FROM keyed),
+whole AS (SELECT doc_id, string_agg(DISTINCT k, chr(10) ORDER BY k) AS lines FROM keyed WHERE k <> '' GROUP BY doc_id),
 common AS (
-  SELECT k, min(doc_id) AS first FROM about WHERE k <> '' GROUP BY k
-  HAVING count(DISTINCT site) >= {SITES}
-     AND count(DISTINCT coalesce('b' || before, '') || chr(10) || coalesce('a' || after, '')) >= {SITES}),
-marked AS (SELECT doc_id, line, pos, common.k IS NOT NULL AND doc_id <> first AS gone FROM about LEFT JOIN common USING (k))
+  SELECT k, min(doc_id) AS first FROM keyed JOIN whole USING (doc_id) WHERE k <> '' GROUP BY k
+  HAVING count(DISTINCT site) >= {SITES} AND count(DISTINCT lines) >= {SITES}),
+marked AS (SELECT doc_id, line, pos, common.k IS NOT NULL AND doc_id <> first AS gone FROM keyed LEFT JOIN common USING (k))
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') END AS text,
        count(line) AS n_lines, count(line) FILTER (WHERE gone) AS n_removed
 FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id, d.text"""

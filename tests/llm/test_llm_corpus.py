@@ -101,6 +101,8 @@ def test_lines_near_and_far_from_the_limit(spark):
             enumerate(line for line, n in spread.items() for _ in range(n))]
     copied = "a whole document\nthat many sites copy\nword for word"
     rows += [(500 + k, copied, "en", f"site{k}") for k in range(40)]
+    block = "subscribe to us\nfollow us\nabout us\nterms of use\nall rights reserved"  # its inner lines always have the same neighbours
+    rows += [(700 + k, f"story {k}\n{block}\nend {k}", "en", f"site{k}") for k in range(12)]
     rows += [(6000, "ten sites", "en", None), (6000, "ten sites", "en", None), (None, "own\nsixty sites\nmore", "en", "s"), *TEXTS]
     out = lines.without_boilerplate(odd(spark, rows)).collect()
     assert len(out) == len(rows)
@@ -115,6 +117,7 @@ def test_lines_near_and_far_from_the_limit(spark):
         gone = spread[line] >= 10 and not first
         assert text_of[1000 + k] == [text.replace(f"\n{line} \t", "") if gone else text]
     assert all(text_of[500 + k] == [copied] for k in range(40))
+    assert text_of[700] == [f"story 0\n{block}\nend 0"] and all(text_of[700 + k] == [f"story {k}\nend {k}"] for k in range(1, 12))
     assert text_of[6000] == ["", ""] and "own\nmore" in text_of[None]
     assert lines.without_boilerplate(empty(spark)).collect() == []
 
@@ -159,6 +162,27 @@ def test_forest_isolates_outliers():
     assert np.isfinite(same.scores(np.zeros((4, 3)))).all()
 
 
+def test_forest_scores_equal_a_walk_node_by_node():
+    rng = np.random.default_rng(4)
+    rows = np.concatenate([rng.normal(0, 1, (300, 4)), np.ones((40, 4)), rng.normal(5, 3, (30, 4))])
+    forest = quality.grow(rows, trees=9, tree_rows=64)
+
+    def usual(n):
+        return 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n if n > 2 else float(n == 2)
+
+    assert forest.usual == pytest.approx(usual(64))
+    want = []
+    for row in rows:
+        total = 0.0
+        for tree in range(9):
+            node = 0
+            while forest.low[tree][node] != node:
+                node = forest.low[tree][node] if row[forest.column[tree][node]] < forest.cut[tree][node] else forest.high[tree][node]
+            total += forest.path[tree][node]
+        want.append(2 ** (-total / 9 / forest.usual))
+    assert forest.scores(rows) == pytest.approx(np.array(want))
+
+
 def test_verdicts_and_threshold(spark):
     rng = random.Random(3)
     good = [(2000 + k, " ".join(f"wort{rng.randrange(900)}" for _ in range(60 + k)), "en", "s") for k in range(200)]
@@ -186,14 +210,13 @@ def test_verdicts_and_threshold(spark):
 def plain_line_dedup(rows):
     held = defaultdict(lambda: (set(), set(), []))
     for d, text, source in rows:
-        keys = [x.strip(lines.BLANK) for x in text.split("\n")]
-        for k, key in enumerate(keys):
-            if key:
-                sites, abouts, ids = held[key]
-                sites.add(source)
-                abouts.add((keys[k - 1] if k else None, keys[k + 1] if k + 1 < len(keys) else None))
-                ids.append(d)
-    common = {k: min(ids) for k, (sites, abouts, ids) in held.items() if len(sites) >= lines.SITES and len(abouts) >= lines.SITES}
+        keys = {x.strip(lines.BLANK) for x in text.split("\n")} - {""}
+        for key in keys:
+            sites, wholes, ids = held[key]
+            sites.add(source)
+            wholes.add(frozenset(keys))
+            ids.append(d)
+    common = {k: min(ids) for k, (sites, wholes, ids) in held.items() if len(sites) >= lines.SITES and len(wholes) >= lines.SITES}
     out = []
     for d, text, source in rows:
         left = [x for x in text.split("\n") if common.get(x.strip(lines.BLANK), d) == d]
