@@ -38,7 +38,7 @@ def roc_auc(df: DataFrame, score: str, truth: str) -> DataFrame:
 def precision_recall_curve(df: DataFrame, score: str, truth: str) -> DataFrame:
     """Rows (threshold, precision, recall) for every distinct score used as ``score >= threshold``."""
     curve = _curve(df, score, truth)
-    positives = df.where(F.col(score).isNotNull()).agg(F.sum(F.col(truth).cast("long"))).scalar()
+    positives = curve.agg(F.max("cum_pos")).scalar()  # from the written counts; the rows are not read again
     return curve.select(
         F.col("score").alias("threshold"),
         F.try_divide("cum_pos", F.col("cum_pos") + F.col("cum_neg")).alias("precision"),

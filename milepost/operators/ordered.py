@@ -3,8 +3,7 @@
 Rows are counted per (group, value) first and these counts are written out, so the input is read once
 however often they are used. The values are cut into quantile buckets; there are as many buckets as the
 counts ask for, so a group that owns most of the table is still spread over most of them. The edges only
-decide where the work happens, so a sample of a fixed number of rows per bucket serves for them; ranks
-and sums count every row.
+decide where the work happens, so a KLL sketch taken with the count serves for them; ranks and sums count every row.
 """
 
 from __future__ import annotations
@@ -18,25 +17,29 @@ from pyspark.sql import Window as W
 
 from milepost.operators.scratch import written
 
-#: Counted values that one bucket should hold, and sampled rows for each edge.
+#: Counted values that one bucket should hold, and size of the sketch that cuts them (ranks within 0.1 %).
 BUCKET_ROWS = 500_000
-EDGE_ROWS = 200
+SKETCH_K = 4096
 
 
 def with_bucket(df: DataFrame, value: str, buckets: int | None = None) -> DataFrame:
     """Add ``bucket``, a non-decreasing function of the numeric column ``value``.
 
-    ``df`` is read three times: pass a written table. Without ``buckets`` its rows decide their number. The edges come
-    from one mergeable sketch of a sample and are a plain list, so all uses of the frame see the same cut.
+    ``df`` is read twice: pass a written table. Without ``buckets`` its rows decide their number. Rows are counted and
+    sketched in one pass; the edges are a plain list read from the sketch, so all uses of the frame see the same cut.
     """
     number = F.col(value).cast("double")
-    rows = df.count()
-    buckets = buckets or max(8, -(-rows // BUCKET_ROWS))
-    shares = [i / buckets for i in range(1, buckets)]
-    part = EDGE_ROWS * buckets / max(rows, 1)
-    sample = df.sample(part, seed=1) if part < 1 else df
-    row = sample.agg(F.percentile_approx(number, shares, 4 * buckets).alias("edges")).first()
-    edges = sorted({e for e in (row["edges"] or []) if e == e and abs(e) != float("inf")})
+    found = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(number.isNotNull() & ~F.isnan(number)).alias("known"),
+        F.kll_sketch_agg_double(number, SKETCH_K).alias("sketch"),
+    ).first()
+    buckets = buckets or max(8, -(-found["rows"] // BUCKET_ROWS))
+    edges: list[float] = []
+    if found["known"] and buckets > 1:
+        shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+        held = df.sparkSession.createDataFrame([(found["sketch"],)], "sketch binary")
+        cuts = held.select(F.kll_sketch_get_quantile_double("sketch", shares).alias("edges")).first()["edges"]
+        edges = sorted({e for e in cuts if e == e and abs(e) != float("inf")})
     inf = float("inf")
     cut = Bucketizer(
         splits=[-inf, *(edges or [0.0]), inf],
