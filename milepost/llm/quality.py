@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from milepost.operators.scratch import written
 
@@ -249,21 +250,35 @@ def verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``verdicts`` keeps, unchanged and with all columns.
+    """The rows of ``docs`` that ``verdicts`` keeps, unchanged and with all columns, nulls and repeated rows as there.
 
-    The texts are measured a second time where they are filtered, so no text is shuffled.
+    Rows are written once with their statistics, the rules are fitted on these narrow columns, and the written rows are
+    filtered by them: each text is measured once and no text is shuffled.
     """
-    rules = fit(written(with_statistics(docs, id_col, text_col), "statistics"), labels)
-    place, places = docs.columns.index(text_col), [len(COUNTS) + SHARES.index(c) for c in SPLIT]
-
-    def kept(batches: Iterator) -> Iterator:
+    kinds = [*[LongType()] * len(COUNTS), *[DoubleType()] * len(SHARES)]
+    measure = F.arrow_udf(_measured, StructType([StructField(c, k) for c, k in zip((*COUNTS, *SHARES), kinds)]))
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = written(docs.select(whole, measure(docs[text_col]).alias("measured")), "measured-rows")
+    rules = fit(rows.select(F.col(f"row.`{id_col}`").cast("bigint").alias("doc_id"), "measured.*"), labels)
+    failed = base_failed(F.col("measured.n_words"), F.col("measured.n_repeat_words"))
+    if rules.forest is None:
+        return rows.where(~failed).select("row.*")
+    forest = rules.forest
+
+    def score(*shares):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            rows = np.array([statistics(t.as_py()) for t in batch.column(place)], float).reshape(-1, len(COUNTS) + len(SHARES))
-            scores = rules.forest.scores(rows[:, places]) if rules.forest else np.zeros(len(rows))
-            good = ~base_failed(rows[:, 0], rows[:, COUNTS.index("n_repeat_words")]) & (scores < rules.threshold)
-            yield batch.filter(pa.array(good))
+        return pa.array(forest.scores(np.stack([s.to_numpy(zero_copy_only=False) for s in shares], 1)))
+
+    scored = rows.withColumn("score", F.arrow_udf(score, "double")(*[F.col(f"measured.{c}") for c in SPLIT]))
+    return scored.where(~failed & (F.col("score") < F.lit(float(rules.threshold)))).select("row.*")
+
+
+def _measured(texts):
+    """Statistics of a batch of texts as a struct array."""
+    import pyarrow as pa
 
-    return docs.mapInArrow(kept, docs.schema)
+    columns = list(zip(*(statistics(t.as_py()) for t in texts))) or [()] * (len(COUNTS) + len(SHARES))
+    kinds = [pa.int64()] * len(COUNTS) + [pa.float64()] * len(SHARES)
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*COUNTS, *SHARES])
