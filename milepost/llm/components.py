@@ -25,7 +25,8 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node that has a link; ``root`` is the smallest node of its component.
 
-    ``links`` has two columns of one orderable type, in either order; loops are ignored. Only sums leave
+    ``links`` has two columns of one orderable type, in either order; loops and links with a null end are ignored, repeated
+    links count once, no links give no rows. Only sums leave
     the executors: two numbers a round tell whether anything has moved.
     """
     first, second = links.columns

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 #: Share of an item's characters that may be edited.
 RATE = 0.08
-#: Items with fewer characters after normalising are too common to tell; they are not searched.
-LEAST_CHARS = 20
-#: Items that one automaton holds; a larger benchmark takes more passes over the documents.
-BLOCK_ITEMS = 20_000
+#: Items with fewer characters after normalising have no budget: they are found unchanged, between words.
+SHORT_CHARS = 20
+#: Items and characters that one automaton holds; a larger benchmark takes more passes over the documents.
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 20_000_000
 
 
 def normal(text: str | None) -> str:
@@ -29,7 +29,7 @@ def normal(text: str | None) -> str:
 
 
 def budget(item: str, rate: float = RATE) -> int:
-    return int(len(item) * rate)
+    return int(len(item) * rate) if len(item) >= SHORT_CHARS else 0
 
 
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
@@ -93,6 +93,9 @@ class Search:
         found = []
         for k, starts in seen.items():
             item_id, pattern, edits = self.items[k]
+            size = len(pattern.item)
+            if size < SHORT_CHARS:  # the one piece is the item itself; texts have one space between words
+                starts = [s for s in starts if text[s - 1 : s] in ("", " ") and text[s + size : s + size + 1] in ("", " ")]
             places = [d for d in (self._verify(text, pattern, edits, *run) for run in _runs(starts, edits)) if d <= edits]
             if places:
                 found.append((item_id, min(places), len(places)))
@@ -120,12 +123,13 @@ def _runs(starts: list[int], edits: int) -> Iterator[tuple[int, int]]:
 
 
 def _blocks(benchmark: DataFrame, rate: float, block_items: int, id_col: str, text_col: str) -> Iterator[list]:
-    """The items in blocks of about ``block_items`` by a hash of their text."""
+    """The items in blocks of about ``block_items`` items and ``BLOCK_CHARS`` characters by a hash of their text."""
     items = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    blocks = max(1, -(-items.count() // block_items))
+    size = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    blocks = max(1, -(-size["n"] // block_items), -(-size["chars"] // BLOCK_CHARS))
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).distinct().collect()
-        yield [(r.item_id, n) for r in rows if len(n := normal(r.text)) >= LEAST_CHARS]
+        yield [(r.item_id, n) for r in rows if (n := normal(r.text))]
 
 
 def matches(
@@ -136,8 +140,8 @@ def matches(
 
     Texts are compared as lower-case words with single spaces. An item is found where some substring of the
     whole text is within ``rate`` of its characters in edits; ``distance`` is the smallest, ``n_places`` counts
-    places apart from each other. Null texts and items, empty texts and items under ``LEAST_CHARS`` characters
-    match nothing. A repeated row gives its matches again, a repeated item counts once, null ids stay null;
+    places apart from each other. Items under ``SHORT_CHARS`` characters are found unchanged and as whole words only. Null
+    and empty texts and items, and items without a word, match nothing. A repeated row gives its matches again, a repeated item counts once, null ids stay null;
     other columns are not read; empty tables give no rows. The benchmark is searched in blocks, each a pass
     over the documents; only one block of items is on the driver at a time.
     """
@@ -169,7 +173,11 @@ def without_leaks(
     docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_items: int = BLOCK_ITEMS, text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs``, unchanged and with all columns, in whose text no benchmark item is found."""
+    """The rows of ``docs``, unchanged and with all columns, in whose text no benchmark item is found.
+
+    Items are found as by ``matches``; null and empty texts stay, repeated rows stay or go together, an empty benchmark takes
+    nothing away.
+    """
     def passed(rows: DataFrame, items: list) -> DataFrame:
         place = rows.columns.index(text_col)
 

@@ -40,17 +40,16 @@ def _letters():
 _LETTERS = None
 
 
-def _codes(text: str):
-    """Lower-case letters of the text as code points, words set off by single spaces; empty without a letter."""
+def _codes(low: str, after_space: bool):
+    """Letters of lower-case text as code points, each run of anything else as one space; none where one stands before."""
     import numpy as np
 
     global _LETTERS
     if _LETTERS is None:
         _LETTERS = _letters()
-    codes = _LETTERS[np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "replace"), np.uint32)]
+    codes = _LETTERS[np.frombuffer(low.encode("utf-32-le", "replace"), np.uint32)]
     space = codes == 32
-    codes = codes[np.concatenate(([True], ~(space[1:] & space[:-1])))]
-    return codes if len(codes) > 2 else codes[:0]
+    return codes[~(space & np.concatenate(([after_space], space[:-1])))]
 
 
 def _grams(codes, size: int):
@@ -71,11 +70,16 @@ def _grams(codes, size: int):
 
 
 def grams(text: str):
-    """Hashes of the n-grams of a whole text, in blocks that bound memory."""
-    for at in range(0, max(len(text), 1), BLOCK):
-        codes = _codes(text[at : at + BLOCK])
+    """Hashes of the n-grams of a whole text, words set off by single spaces; in blocks that bound memory and overlap by what an n-gram needs."""
+    import numpy as np
+
+    low = f" {text.lower()} "
+    tail = np.empty(0, np.uint32)
+    for at in range(0, len(low), BLOCK):
+        codes = _codes(low[at : at + BLOCK], len(tail) > 0 and tail[-1] == 32)
         for size in SIZES:
-            yield size, _grams(codes, size)
+            yield size, _grams(np.concatenate((tail[max(0, len(tail) - size + 1) :], codes)), size)
+        tail = np.concatenate((tail, codes))[1 - max(SIZES) :]
 
 
 class Filters(NamedTuple):
