@@ -1,9 +1,10 @@
 """Licence scans with a positional index of rare licence words.
 
-Of every template's mandatory phrase the word that is rarest in the corpus (highest IDF) is posted with its place
-in the template. A text's words are looked up in this small index; each hit says where the whole template would
-start, its other words are compared at their relative places, and its mandatory phrase must stand whole: so
-the posted word leads to every place.
+Of every template's mandatory phrase the words that are rarest in the corpus (highest IDF) are posted with their places
+in the template. A text's licence words are looked up in this small index, the rarest first: each hit says where the whole
+template would start, and a start stays only if every posted word of the template points at it, too. As the mandatory
+phrase must stand whole, no place is missed. What is left of these intersections is verified: the phrase word by word, and
+the template's other words at their relative places.
 """
 
 from __future__ import annotations
@@ -45,8 +46,28 @@ TEMPLATES = (
     ("bsd 3 clause license", "bsd", "bsd 3 clause license"),
     ("this is free and unencumbered software released into the public domain", "unlicense", "free and unencumbered software"),
 )
+#: Whole headers and grants, found where most of their words stand in place.
+TEMPLATES += (
+    (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license "
+        "you may obtain a copy of the license at", "apache", "you may not use this file except in compliance with the license",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
+        "as published by the free software foundation either version 3 of the license or at your option any later version", "gpl",
+        "under the terms of the gnu general public license as published by the free software foundation",
+    ),
+    (
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+        "distribute sublicense and or sell copies of the software", "mit", "to deal in the software without restriction",
+    ),
+)
+#: Words of a mandatory phrase that are posted, the rarest.
+POSTED = 3
 #: Share of a template's IDF that must stand in place.
 IN_PLACE = 0.7
+#: A start is a number: its template times this, and its place, counted from a few words before the text.
+_STARTS, _BEFORE = 1 << 40, 1 << 20
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -105,19 +126,19 @@ def scan(
     split = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
     idf = inverse_frequencies(split, known)
 
-    postings: dict[str, list[tuple[int, int]]] = {}
+    postings: list[dict[str, list[tuple[int, int]]]] = [{} for _ in range(POSTED)]
     for k, t in enumerate(made):
-        # The mandatory phrase stands whole, so its rarest word leads to every place of the template, once.
-        rarest = min(t.must, key=lambda i: (-idf[t.words[i]], i))
-        postings.setdefault(t.words[rarest], []).append((k, rarest))
-
-    index = F.create_map(
-        *[
-            c
-            for word, at in sorted(postings.items())
-            for c in (F.lit(word), _literal(at, lambda p: F.struct(F.lit(p[0]).alias("t"), F.lit(p[1]).alias("rel"))))
-        ]
-    )
+        rarest = sorted(t.must, key=lambda i: (-idf[t.words[i]], i))
+        for level, rel in enumerate(rarest[:POSTED]):
+            postings[level].setdefault(t.words[rel], []).append((k, rel))
+    posted = sorted({w for level in postings for w in level})
+    none = F.array().cast("array<bigint>")
+
+    def index(level: dict[str, list[tuple[int, int]]]) -> Column:
+        """Posted word to its templates and places, such that adding a place in a text numbers the start; empty for words of other levels."""
+        number = lambda p: F.lit(p[0] * _STARTS + _BEFORE - p[1]).cast("bigint")
+        return F.create_map(*[c for w in posted for c in (F.lit(w), _literal(level[w], number) if w in level else none)])
+
     table = _literal(
         made,
         lambda t: F.struct(
@@ -126,36 +147,39 @@ def scan(
             _literal(t.must, F.lit).alias("must"),
         ),
     )
-    rare = F.array(*map(F.lit, sorted(postings)))
-    numbered = F.transform("words", lambda w, i: F.when(F.array_contains(rare, w), i))
+    numbered = F.transform("words", lambda w, i: F.when(F.array_contains(F.array(*map(F.lit, posted)), w), i))
     looked = split.withColumn("rare", F.filter(numbered, lambda i: i.isNotNull()))
-    starts = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "rare",
-                lambda p: F.transform(
-                    F.element_at(index, F.get("words", p)), lambda s: F.struct(s["t"].alias("t"), (p - s["rel"]).alias("start"))
-                ),
-            )
-        )
-    )
+
+    def starts(level: dict[str, list[tuple[int, int]]]) -> Column:
+        at = index(level)
+        hits = F.transform("rare", lambda p: F.transform(F.element_at(at, F.get("words", p)), lambda n: n + p))
+        return F.array_distinct(F.flatten(hits))
+
+    # The starts of the rarest words, then those that the next words point at as well; templates with fewer words pass.
+    depth = F.array(*[F.lit(min(POSTED, len(t.must))) for t in made])
+    looked = looked.withColumn("starts", starts(postings[0]))
+    for level in range(1, POSTED):
+        words = F.lit(level)
+        short = F.filter("starts", lambda n: F.get(depth, F.floor(n / _STARTS).cast("int")) <= words)
+        looked = looked.withColumn("also", starts(postings[level]))
+        looked = looked.withColumn("starts", F.concat(short, F.array_intersect("starts", "also"))).drop("also")
 
     def word_at(start: Column, i: Column) -> Column:
         return F.when(start + i >= 0, F.get("words", start + i))
 
-    def placed(hit: Column) -> Column:
-        t = F.get(table, hit["t"])
+    def placed(n: Column) -> Column:
+        t, start = F.get(table, F.floor(n / _STARTS).cast("int")), (n % _STARTS - _BEFORE).cast("int")
         share = F.aggregate(
-            F.transform(t["words"], lambda w, i: F.when(w == word_at(hit["start"], i), F.get(t["weights"], i)).otherwise(0.0)),
+            F.transform(t["words"], lambda w, i: F.when(w == word_at(start, i), F.get(t["weights"], i)).otherwise(0.0)),
             F.lit(0.0), lambda a, x: a + x,
         )
-        whole = F.forall(t["must"], lambda i: F.coalesce(word_at(hit["start"], i) == F.get(t["words"], i), F.lit(False)))
+        whole = F.forall(t["must"], lambda i: F.coalesce(word_at(start, i) == F.get(t["words"], i), F.lit(False)))
         return F.struct(
-            t["label"].alias("label"), hit["start"].alias("start"), F.when(whole, F.least(share, F.lit(1.0))).otherwise(0.0).alias("share"),
+            t["label"].alias("label"), start.alias("start"), F.when(whole, F.least(share, F.lit(1.0))).otherwise(0.0).alias("share"),
             t["base"].alias("base"),
         )
 
-    found = F.when(F.size("rare") > 0, F.filter(F.transform(starts, placed), lambda p: p["share"] >= IN_PLACE))
+    found = F.when(F.size("rare") > 0, F.filter(F.transform("starts", placed), lambda p: p["share"] >= IN_PLACE))
     placed_rows = looked.select("doc_id", F.size("words").cast("bigint").alias("n_words"), found.alias("places"))
     return placed_rows.select("doc_id", "n_words", *_summary())
 

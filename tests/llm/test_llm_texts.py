@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -88,6 +89,28 @@ def test_licenses_without_a_templates_rarest_words(spark):
         assert sorted((p.label, p.start, round(p.share, 9), p.base) for p in r.places or []) == wanted[r.doc_id]
 
 
+def test_licenses_in_whole_headers_and_their_variants(spark, plan):
+    """Variants of every template, with words changed, dropped and put in between, against all starts of all templates."""
+    rng = random.Random(12)
+    docs = []
+    for k, (text, _, must) in enumerate(licenses.TEMPLATES):
+        for v in range(6):
+            words = text.split()
+            for _ in range(v):
+                at = rng.randrange(len(words))
+                words[at : at + 1] = rng.choice([[], ["changed"], [words[at], "more"], [words[at].upper()]])
+            docs.append((100 * k + v, " ".join(["own"] * v + words + ["the end of", must]) + ("!" if v else ""), "en", "s"))
+    made = licenses._templates(licenses.PHRASES, licenses.TEMPLATES)
+    words = [re.findall(r"[a-z0-9]+", t.lower()) for _, t, *_ in docs]
+    holding = Counter(w for row in words for w in set(row))
+    idf = {w: math.log((1 + len(docs)) / (1 + holding[w])) + 1 for t in made for w in t.words}
+    found = licenses.scan(odd(spark, docs))
+    assert "Python" not in plan(found) and "ArrowEval" not in plan(found)
+    got = {r.doc_id: sorted((p.label, p.start, round(p.share, 9), p.base) for p in r.places or []) for r in found.collect()}
+    assert got == {d: template_places(row, made, idf) for (d, *_), row in zip(docs, words)}
+    assert {label for places in got.values() for label, *_ in places} == {t.label for t in made}
+
+
 # benchmark decontamination
 
 
@@ -114,6 +137,7 @@ ITEMS = [
     (2, "A train leaves the station at noon, going 60 miles per hour towards the coast."),
     (3, None),
     (4, "too short"),
+    (5, "?!"),
     (None, "An item that has no identifier at all but is still long enough"),
 ]
 
@@ -126,6 +150,8 @@ def test_matches_equal_brute_force(spark):
         (103, a.replace("largest", "larjest").replace("planets has", "planet hat"), "en", "s"),
         (104, a[: len(a) // 2], "en", "s"),
         (105, "too short " * 20, "en", "s"),
+        (107, "nothing is too shortened, too  SHORT!", "en", "s"),
+        (108, "it is tootoo short and too shorts", "en", "s"),
         (106, LONG + " " + ITEMS[-1][1], "en", "s"),
         *TEXTS,
     ]
@@ -134,17 +160,20 @@ def test_matches_equal_brute_force(spark):
     for doc, text, *_ in docs:
         for item_id, item in set(ITEMS):
             n = decontaminate.normal(item)
-            if text and item and len(n) >= decontaminate.LEAST_CHARS:
+            if text and n:
                 whole = decontaminate.normal(text)
-                d = (0 if n in whole else 99) if len(whole) > 10_000 else plain_distance(n, whole)
+                if len(n) < decontaminate.SHORT_CHARS:
+                    d = 0 if f" {n} " in f" {whole} " else 99
+                else:
+                    d = (0 if n in whole else 99) if len(whole) > 10_000 else plain_distance(n, whole)
                 if d <= decontaminate.budget(n):
                     wanted.append((str(doc), str(item_id), d))
-    assert len(wanted) == 4
+    assert len(wanted) == 6
     for block in (20_000, 1):
         got = decontaminate.matches(odd(spark, docs), items, block_items=block).collect()
         assert sorted((str(r.doc_id), str(r.item_id), r.distance) for r in got) == sorted(wanted)
     places = {(r.doc_id, r.item_id): r.n_places for r in got}
-    assert places[102, 2] == 2
+    assert places[102, 2] == 2 and places[105, 4] == 20 and places[107, 4] == 1
     left = decontaminate.without_leaks(odd(spark, docs), items)
     assert left.columns == odd(spark).columns
     leaked = {d for d, *_ in wanted}
@@ -183,6 +212,46 @@ def test_filters_hold_all_their_grams():
     assert abs(hits - filters.false_rate[0]) < 0.01
 
 
+def plain_grams(text):
+    """Letters of the whole text in words, one space at either side; every n-gram that is not across words."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    return [(n, w[i : i + n]) for n in language.SIZES for w in (f" {w} " for w in words) for i in range(len(w) - n + 1)]
+
+
+def gram_hash(size, gram):
+    import numpy as np
+
+    return int(language._grams(np.array([ord(c) for c in gram], np.uint32), size)[0])
+
+
+ODD_LETTERS = [t for _, t, *_ in TEXTS if t and t is not LONG] + ["ΑΣ'Α ΑΣ. ΣΑΣ", "İstanbul IŞIK", "a", "ab cd", "éé1éé", "don't stop", "x" * 40]
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 1 << 20])
+def test_grams_of_any_block_are_those_of_the_whole_text(monkeypatch, block):
+    monkeypatch.setattr(language, "BLOCK", block)
+    for text in ODD_LETTERS:
+        got = Counter((size, int(h)) for size, hashes in language.grams(text) for h in hashes)
+        assert got == Counter((n, gram_hash(n, g)) for n, g in plain_grams(text))
+
+
+def test_predictions_equal_plain_sets_of_grams():
+    """Popcounts of the masks are memberships in plain sets, but for the filters' false positives."""
+    rng = random.Random(2)
+    texts = {"aa": "the cat and the dog sat on the mat", "bb": "der hund und die katze sind im haus", "cc": "le chat et le chien sont dans la maison"}
+    sets = {lang: {gram_hash(n, g) for n, g in plain_grams(t)} for lang, t in texts.items()}
+    filters = language.build({lang: [h - (1 << 64) if h >> 63 else h for h in s] for lang, s in sets.items()})
+    for _ in range(40):
+        lang = rng.choice(list(texts))
+        text = " ".join(rng.sample(texts[lang].split(), 5)) + rng.choice(["", " 12!", " ÄÖ", "\n\n"])
+        hashes = [gram_hash(n, g) for n, g in plain_grams(text)]
+        total, hits = filters.counts(text)
+        plain = [sum(h in sets[name] for h in hashes) for name in filters.languages]
+        assert total == len(hashes) and all(a >= b for a, b in zip(hits, plain))
+        assert all(a - b <= 3 + 3 * r * total for a, b, r in zip(hits, plain, filters.false_rate))
+        assert filters.predict(text)[0] == filters.languages[plain.index(max(plain))] == lang
+
+
 def test_language_odd_texts(spark):
     docs = [(i, t * 30, lang, "s") for i, (t, lang) in enumerate([("the cat and the dog ", "en"), ("der hund und die katze ", "de")] * 20)]
     filters = language.train(odd(spark, docs))
