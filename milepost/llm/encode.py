@@ -17,8 +17,12 @@ _LONG = 100
 
 
 def default_tokenizer() -> str:
-    """Place of the word-end BPE file in the public tokenizer folder (``MILEPOST_TOKENIZERS`` names another folder)."""
-    return os.path.join(os.environ.get("MILEPOST_TOKENIZERS", "/opt/tokenizers"), "word_bpe_49k.json")
+    """Place of the word-end BPE file in the public tokenizer package (``MILEPOST_TOKENIZERS`` names another folder)."""
+    if folder := os.environ.get("MILEPOST_TOKENIZERS"):
+        return os.path.join(folder, "word_bpe_49k.json")
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 class _Memory(dict):
@@ -38,11 +42,11 @@ class WordEncoder:
 
     The tokenizer drops white space and never merges across it, so the ids of a text are those of its
     words in order. Words seen before come from a dictionary, which is emptied when it is full. A new word
-    of Latin letters, with or without marks after it, goes straight to the tokenizer's model; any other
-    one goes through the whole tokenizer.
+    of Latin letters takes the ids of its lower-case letters, from the same dictionary or straight from the tokenizer's
+    model, and those of the marks after it; any other one goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, words: int = 250_000):
+    def __init__(self, path: str, words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -51,7 +55,6 @@ class WordEncoder:
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._spelled = _Memory(lambda char: "".join(p for p, _ in letters.pre_tokenize_str(char)))
         self._known = _Memory(self._word)
-        self._stems = _Memory(self._stem)
         self._marks = _Memory(self._encode)
         self._limit = words
 
@@ -72,7 +75,7 @@ class WordEncoder:
             return self._encode(word)
         if not low.isalpha() or len(low) > _LONG:
             return self._encode(word)
-        ids = self._stems[low]
+        ids = self._stem(low) if low == word else self._known[low]
         return ids if len(stem) == len(word) else ids + self._marks[word[len(stem) :]]
 
     def __call__(self, text: str) -> bytes:
@@ -83,8 +86,8 @@ class WordEncoder:
             return b"".join(self._encode(w) if len(w) > _LONG else self._known[w] for w in words)
         ids = b"".join(map(self._known.__getitem__, words))
         if len(self._known) > self._limit:
-            for memory in (self._known, self._stems, self._marks):
-                memory.clear()
+            self._known.clear()
+            self._marks.clear()
         return ids
 
 
