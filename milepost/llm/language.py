@@ -78,8 +78,9 @@ def grams(text: str):
     for at in range(0, len(low), BLOCK):
         codes = _codes(low[at : at + BLOCK], len(tail) > 0 and tail[-1] == 32)
         for size in SIZES:
-            yield size, _grams(np.concatenate((tail[max(0, len(tail) - size + 1) :], codes)), size)
-        tail = np.concatenate((tail, codes))[1 - max(SIZES) :]
+            yield size, _grams(np.concatenate((tail[max(0, len(tail) - size + 1) :], codes)) if len(tail) else codes, size)
+        if at + BLOCK < len(low):
+            tail = np.concatenate((tail, codes))[1 - max(SIZES) :]
 
 
 class Filters(NamedTuple):
