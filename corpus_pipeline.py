@@ -1,7 +1,11 @@
 """The corpus pipeline: quality rules, line dedup, near-dedup, benchmark decontamination, packing.
 
 Every stage takes what the one before kept, written as Parquet and read again; all but the last return the
-columns of ``documents``.
+columns of ``documents``, whatever further columns there are and whatever their names.
+
+Odd rows have one result at every stage: an empty table stays empty, repeated rows are treated alike, a missing id is kept
+and ranks last where the smallest id is wanted, and a text of any length is looked at whole. What a null or empty text
+comes to is said by each stage.
 """
 
 from __future__ import annotations
@@ -14,12 +18,14 @@ from milepost.operators.scratch import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the isolation forest."""
+    """Documents that pass the base rules and the isolation forest, unchanged. Null, empty and short texts fail the base rules;
+    documents without a label count for the forest only; without labels of both kinds only the base rules decide."""
     return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many sites repeat; one that had nothing else goes."""
+    """Documents without the lines that many sites repeat; one that had nothing else goes, one that was empty or null stays.
+    Of all documents with such a line the smallest id keeps it, in all its rows; ``n_chars`` follows a changed text."""
     found = lines.without_boilerplate(docs)
     text = F.col("text")
     left = found.where((F.col("n_removed") == 0) | (F.regexp_replace(text, r"\s+", "") != ""))
@@ -28,17 +34,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: the smallest id, of equal ids the smallest hash of the text. Null and
+    blank texts are one group."""
     return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage, unchanged; null and empty texts and items match nothing."""
     return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of what is left, with their place in the packed sequences."""
+    """Pieces of what is left, with their place in the packed sequences; a null or empty text is one piece, its end id."""
     return packing.pack(docs)
 
 
