@@ -142,13 +142,16 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` with all columns, one for each component: the smallest id (null is largest), then the smallest hash of the text."""
+    """The rows of ``docs`` with all columns, one for each component: the smallest id (null is largest), then the smallest hash of
+    the text, then of the whole row (maps aside). Null and blank texts are one component; an empty table gives no rows."""
+    plain = [F.col(f"row.`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select(
-        "row", F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("")).alias("id_key"), F.xxhash64(f"row.`{text_col}`").alias("body")
+        "row", F.xxhash64(*plain).alias("which"), F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("")).alias("id_key"), F.xxhash64(f"row.`{text_col}`").alias("body")
     )
-    plain = keyed.select("id_key", "body", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").alias("text"))
-    rows = written(fingerprints(plain, shingle, keep=("id_key", "body")), "fingerprints")
+    read = keyed.select("id_key", "body", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").alias("text"))
+    rows = written(fingerprints(read, shingle, keep=("id_key", "body")), "fingerprints")
     choice = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body", "id_key"))
     kept = rows.join(_named(rows, distance), "fingerprint").groupBy("root").agg(choice.alias("kept"))
     names = kept.select("kept.id_key", "kept.body")
-    return keyed.join(names, ["id_key", "body"]).dropDuplicates(["id_key", "body"]).select("row.*")
+    same = keyed.join(names, ["id_key", "body"]).groupBy("id_key", "body")
+    return same.agg(F.min_by("row", "which").alias("row")).select("row.*")

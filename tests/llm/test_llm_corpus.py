@@ -92,6 +92,13 @@ def test_one_of_each_keeps_the_smallest_id(spark):
     assert Counter(r.doc_id for r in left.collect()) == Counter([1, 2, None, 5, 6, 8])
 
 
+def test_one_of_each_among_rows_of_one_id_and_text(spark):
+    """Whatever the order and the partitions, the same of them is kept."""
+    rows = [(1, "one text of some words", lang, f"s{k}") for k, lang in enumerate(["en", "de", None, "fr", "es"])]
+    kept = {tuple(simhash.one_of_each(odd(spark, rows[k:] + rows[:k]).repartition(1 + k % 3)).first()) for k in range(5)}
+    assert len(kept) == 1
+
+
 # lines
 
 
