@@ -133,7 +133,10 @@ def bootstrap_differences(
         kinds = [pa.int32(), *[pa.float64()] * 4]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-    sums = rows.mapInArrow(run, "replicate int, wx_a double, w_a double, wx_b double, w_b double")
+    # Drawing is the work, and users are narrow: without this a small roll-up would meet in one task.
+    session = users.sparkSession
+    tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    sums = rows.repartition(tasks, "seed").mapInArrow(run, "replicate int, wx_a double, w_a double, wx_b double, w_b double")
     mean = {s: F.try_divide(F.sum(f"wx_{s}"), F.sum(f"w_{s}")) for s in "ab"}
     return sums.groupBy("replicate").agg((mean["b"] - mean["a"]).alias("difference"))
 
