@@ -369,6 +369,33 @@ def test_field_finds_rewritten_spans(field):
     assert found[True] > 0.85 * sum(found.values()) and found[True] > 50
 
 
+def best_by_enumeration(grid, scores):
+    """The largest total of any set of spans that do not overlap, each of its best kind."""
+    worth = [max(row) for row in scores]
+
+    def best(at):
+        return max([0.0, *(best(j) + worth[s] for s, (i, j) in enumerate(grid.spans) if i >= at)])
+
+    return best(0)
+
+
+def test_decoding_is_optimal_among_all_segmentations():
+    rng = random.Random(17)
+    windows = ["a@b.co 1234", "call 1234-5678 or x@y", "10.0.0.5, 99 12", "mail me (at) home 4455", "1234 5678", "no data here"]
+    for text in windows:
+        grid = pii.lattice(text)
+        for _ in range(8):
+            names = {n for row in grid.names for n in row}
+            field = pii.Field({n: [rng.gauss(-0.2, 1) for _ in pii.KINDS] for n in names})
+            scores = [field.scores(row) for row in grid.names]
+            found = field.decode(text) if names else []
+            place = {c: t for t, c in enumerate(grid.bounds)}
+            at = {span: s for s, span in enumerate(grid.spans)}
+            total = sum(scores[at[place[a], place[b]]][pii.KINDS.index(kind)] for kind, a, b in found)
+            assert total == pytest.approx(best_by_enumeration(grid, scores))
+            assert all(one[2] <= two[1] for one, two in zip(found, found[1:]))
+
+
 def test_short_addresses_in_the_operators_own_spelling(field):
     for address in ("10[.]0[.]0[.]5", "1[.]1[.]1[.]1", "10(.)0(.)0(.)5", "10[dot]0[dot]0[dot]5", "97[dot]51[dot]17[dot]173"):
         text = f"the host {address} was down"
