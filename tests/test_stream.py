@@ -151,3 +151,36 @@ def test_state_survives_a_restart_and_is_evicted(spark, tmp_path, state):
     states = run()
     assert states[-1]["numRowsTotal"] == 1
     assert spark.read.parquet(job.feedback + "/out").count() == 3
+
+
+def test_campaigns_are_kept_and_messages_are_not(spark, tmp_path):
+    """Copies of a record go before the fan-out: state and cache hold campaigns, whatever number of clients they go to."""
+    job = Job(spark, tmp_path)
+    people = spark.range(500).selectExpr("string(id) as client_id", "'r1' as restaraunt_id")
+    people = people.unionByName(people).unionByName(spark.sql("select string(null) as client_id, 'r1' as restaraunt_id"))
+    at = lambda minute, hour=10: dt.datetime(2024, 1, 1, hour, minute)
+    cached = []
+
+    def push(batch, batch_id):
+        relation = "InMemoryRelation"
+        plan = batch._jdf.queryExecution().withCachedData().toString()
+        cached.append(relation in plan and "client_id" not in plan.split(relation)[1].split("]")[0])
+        campaigns.parquet_sink(job.pushed)(batch, batch_id)
+
+    def run():
+        stream = spark.readStream.schema(INPUT).parquet(job.folder)
+        sinks = campaigns.send_to_subscribers(people, campaigns.parquet_sink(job.feedback), push, target_messages=100, now=F.lit(NOW))
+        query = campaigns.start(campaigns.new_campaigns(stream), sinks, job.state, available_now=True)
+        query.awaitTermination()
+        return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+    open_ended = {"start": "2020-01-01T10:00:00", "end": "2999-01-01T14:00:00"}
+    land(spark, job.folder, [("k", body(**open_ended), at(0)), ("k", body(**open_ended), at(5)), ("k", body(campaign="c2", **open_ended), at(6))])
+    assert max(run()) == 2
+    land(spark, job.folder, [("k", body(**open_ended), at(30))])
+    assert max(run()) == 2
+    rows = spark.read.parquet(job.feedback)
+    assert rows.count() == 2 * 501 and rows.select("message_key").distinct().count() == 2 * 501
+    assert rows.select("trigger_datetime_created").distinct().count() == 1
+    values = spark.read.parquet(job.pushed)
+    assert values.count() == 2 * 501 and all(cached) and cached
