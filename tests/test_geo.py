@@ -343,3 +343,39 @@ def test_raw_rows_are_hash_aggregated(spark, plan):
     cities = spark.createDataFrame(CITIES, CITY_DDL)
     for mart in (geo_marts.user_geo_mart(events, cities), geo_marts.last_locations(events, cities)):
         assert "SortAggregate" not in plan(mart)
+
+
+def test_pairs_that_share_many_groups_meet_once_and_stay_where_they_are(spark, plan):
+    """Where most share several groups, members meet all with all; the pairs are not moved to be made distinct."""
+    rng = random.Random(5)
+    rows = [(i, [rng.randrange(9) for _ in range(rng.randrange(12))], -33.86 + rng.uniform(-0.02, 0.02), 151.2) for i in range(150)]
+    rows += [(200 + i, [100 + i // 2], 10.0 + rng.uniform(-0.01, 0.01), 20.0) for i in range(40)]  # these meet by group
+    rows += [(300 + i, [None, 100 + i // 2], 89.999, i * 9.0) for i in range(40)]
+    members = spark.createDataFrame(rows, "id int, ch array<int>, lat double, lon double")
+    want = {
+        (a[0], b[0]) for a in rows for b in rows
+        if a[0] < b[0] and {*a[1]} & {*b[1]} - {None} and km(a[2:], b[2:]) < 1.0
+    }
+    for block in (20_000, 7):
+        found = pairs_within(members, 1.0, "ch", "id", rows_per_block=block)
+        assert "keys=[id_left" not in plan(found)
+        got = [(r["id_left"], r["id_right"]) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    twice = members.unionByName(members)
+    assert pairs_within(twice, 1.0, "ch", "id").count() == len(want)
+
+
+def test_talks_of_close_members_are_found_and_meet_the_pairs_in_place(spark, plan, tmp_path):
+    from milepost.catalog import derive
+    from milepost.plans import geo_marts
+
+    kinds = ("purchase", "signup", "signup", "view")
+    rows = [(e, dt.datetime(2024, 1, 1 + e // 200, e % 24), e * 7 % 90, kinds[e // 90 % 4]) for e in range(3600)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    events = derive.friend_events(spark, str(tmp_path))
+    found = geo_marts.friend_pairs(events, derive.cities(spark))
+    assert "BroadcastHashJoin" in plan(found).split("LeftAnti")[0].splitlines()[-1]
+    assert "keys=[user_id_left" not in plan(found)
+    talked = {tuple(r) for r in geo_marts.talked_pairs(events).collect()}
+    got = {(r["user_id_left"], r["user_id_right"]) for r in found.collect()}
+    assert got and talked and not talked & got
