@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -19,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
+from pyspark.util import inheritable_thread_target
 
 from milepost.functions.scalars import arg_max
 from milepost.functions.statistics import number_from_md5
@@ -35,6 +37,8 @@ CHURN_FOREST_GRID = {"numTrees": list(range(1, 100, 5)), "maxDepth": list(range(
 
 #: Different values of a column that an encoder may hold on the driver.
 MOST_LABELS = 100_000
+#: Training rows that one task should get at most.
+ROWS_PER_TASK = 50_000
 
 
 def price_models() -> dict[str, Estimator]:
@@ -118,7 +122,8 @@ def linear_regression() -> LinearRegression:
 
 
 def forest_regressor(trees: int = 45, depth: int = 9, seed: int = 12345) -> RandomForestRegressor:
-    return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed)
+    # A row keeps its node of each tree, in place of going down from the root once for every level.
+    return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
 
 
 def boosted_regressor(iterations: int = 100, depth: int = 5, seed: int = 12345) -> GBTRegressor:
@@ -131,7 +136,7 @@ def logistic_regression(rows: int) -> LogisticRegression:
 
 
 def forest_classifier(trees: int = 66, depth: int = 16, seed: int = 12345) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True)
 
 
 def boosted_classifier(iterations: int = 150, depth: int = 5, seed: int = 12345) -> GBTClassifier:
@@ -163,16 +168,20 @@ class Prepared:
     features: list[str]
 
 
-def prepare(df: DataFrame, spec: Spec) -> Prepared:
+def prepare(df: DataFrame, spec: Spec, rows_per_task: int = ROWS_PER_TASK) -> Prepared:
     """Split first, then fit encoder and scaling on the training rows only.
 
-    Training reads its rows many times, so they are written to the shared folder once.
+    Training reads its rows many times, so they are written to the shared folder once. They come in a number of partitions
+    that follows from their number and not from the cluster, so that a forest's samples do not depend on it.
     """
     columns = [spec.key, spec.label, *spec.numeric, *spec.categories]
     rows = written(
         df.select(*columns).withColumn("label", F.col(spec.label).cast("double")), "model-rows"
     )
     train, test = split(rows, spec.key, spec.seed, spec.test_percent)
+    # Learners go over their rows hundreds of times in as many tasks as these come in: a join leaves few, by bytes.
+    if (tasks := -(-rows.count() // rows_per_task)) > 1:
+        train = train.repartition(tasks, spec.key)
     encoder = None
     if spec.categories:
         check_labels(train, spec.categories, spec.most_labels)
@@ -191,6 +200,14 @@ def prepare(df: DataFrame, spec: Spec) -> Prepared:
     )
 
 
+def together(spark: SparkSession, run: Callable, items: Sequence) -> list:
+    """Results of ``run`` for each item, all at a time: one learner's steps leave tasks' places and pauses to the others."""
+    if not items:
+        return []
+    with ThreadPool(len(items)) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), items, chunksize=1)
+
+
 def evaluate(predictions: DataFrame, task: str, model: str) -> DataFrame:
     """One row of hold-out measures with the model's name."""
     if task == "regression":
@@ -211,7 +228,9 @@ def train_compare(df: DataFrame, spec: Spec) -> tuple[DataFrame, dict[str, objec
     data = prepare(df, spec)
     data.train.persist()
     try:
-        fitted = {name: estimator.fit(data.train) for name, estimator in spec.models.items()}
+        data.train.count()
+        models = together(df.sparkSession, lambda estimator: estimator.fit(data.train), list(spec.models.values()))
+        fitted = dict(zip(spec.models, models))
     finally:
         data.train.unpersist()
     rows = [evaluate(m.transform(data.test), spec.task, name) for name, m in fitted.items()]
@@ -306,9 +325,14 @@ def search_forest(
     train = train.persist()
     try:
         scores: dict[tuple[int, int], list[float]] = {(k, d): [] for k in trees for d in depths}
-        for fold in range(folds):
+
+        def of_fold(fold: int) -> list:
             model = largest.fit(train.where(F.col("fold") != fold))
-            for r in prefix_scores(train.where(F.col("fold") == fold), model, trees, depths, classes).collect():
+            return prefix_scores(train.where(F.col("fold") == fold), model, trees, depths, classes).collect()
+
+        train.count()
+        for found in together(train.sparkSession, of_fold, range(folds)):
+            for r in found:
                 if r["n"]:
                     scores[r["trees"], r["depth"]].append(1 - r["miss"] / r["n"] if classes else (r["miss"] / r["n"]) ** 0.5)
         means = {point: sum(found) / len(found) if found else None for point, found in scores.items()}

@@ -172,3 +172,33 @@ def test_a_column_with_too_many_labels_is_named(spark):
     training.check_labels(rows, ["narrow", "wide"])
     with pytest.raises(ValueError, match="wide"):
         training.check_labels(rows, ["narrow", "wide"], most=100)
+
+
+def test_training_rows_are_spread_by_their_number_and_learners_run_together(spark, monkeypatch):
+    rows = [(i, float(i % 7), float(i % 11), (i % 7) * 3.0 + (i % 11)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, a double, b double, y double").coalesce(1)
+    models = {"linear": training.linear_regression(), "forest": training.forest_regressor(trees=4, depth=5)}
+    spec = training.Spec("k", "y", ["a", "b"], models=models)
+    assert training.prepare(df, spec, rows_per_task=150).train.rdd.getNumPartitions() == 7
+    train = training.with_fold(training.prepare(df, spec).train, "k", 3)
+    assert train.rdd.getNumPartitions() <= training.prepare(df, spec).test.rdd.getNumPartitions()
+
+    ran, real = [], training.together
+    monkeypatch.setattr(training, "together", lambda spark, run, items: ran.append(len(items)) or real(spark, run, items))
+    table, fitted = training.train_compare(df, spec)
+    assert list(fitted) == ["linear", "forest"] and {r["model"] for r in table.collect()} == {"linear", "forest"}
+    assert fitted["linear"].coefficients.toArray().tolist() == pytest.approx([3.0, 1.0])
+    grid = {"numTrees": [2, 4], "maxDepth": [1, 3]}
+    found = [
+        sorted(training.search_forest(train, training.forest_regressor().setCacheNodeIds(kept), grid, folds=3, refit=False)[0].collect())
+        for kept in (True, False)
+    ]
+    assert found[0] == found[1] and len(found[0]) == 4
+    assert ran == [2, 3, 3]
+    assert all(f().getCacheNodeIds() for f in (training.forest_regressor, training.forest_classifier))
+
+    def broken(_):
+        raise ValueError("no fit")
+
+    with pytest.raises(ValueError, match="no fit"):
+        real(spark, broken, [1, 2])
