@@ -76,28 +76,30 @@ def linear_regression_rmse(spark, sf_dir):
 
 
 def _price_rows(spark, sf_dir):
-    """Clean adverts whose price follows age and mileage; the retail price alone follows nothing that an advert says."""
+    """Clean adverts whose price follows age and mileage, written; the retail price alone follows nothing that an advert says."""
     adverts = cars.clean_adverts(derive.adverts(spark, sf_dir))
     dearer = F.col("price") + 100 * (F.col("registrationyear") - 1980) - (F.col("kilometer") / 1000).cast("int")
-    return adverts.withColumn("price", dearer), cars.price_spec("advert_id", training.price_models())
+    spec = cars.price_spec("advert_id", training.price_models())
+    return training.model_rows(adverts.withColumn("price", dearer), spec), spec
 
 
 def _churn_rows(spark, sf_dir):
     view = customers.model_rows(customers.customer_view(*derive.telecom(spark, sf_dir)))
-    return view, customers.churn_spec(view, training.churn_models(view.count()))
+    rows = training.model_rows(view, customers.churn_spec(view, {}))
+    return rows, customers.churn_spec(view, training.churn_models(rows.count()))
 
 
 @query("price_model_comparison")
 def price_model_comparison(spark, sf_dir):
     """Hold-out error and mean prediction of the three regressors with their own settings."""
-    table, _ = training.train_compare(*_price_rows(spark, sf_dir))
+    table, _ = training.compare_rows(*_price_rows(spark, sf_dir))
     return table
 
 
 @query("churn_model_comparison")
 def churn_model_comparison(spark, sf_dir):
     """Hold-out accuracy and area of the three classifiers with their own settings."""
-    table, _ = training.train_compare(*_churn_rows(spark, sf_dir))
+    table, _ = training.compare_rows(*_churn_rows(spark, sf_dir))
     return table
 
 
@@ -119,7 +121,7 @@ _CHURN_SPLIT_SQL = f"""{derive.TELECOM_SQL},
 def price_models_beat_mean(spark, sf_dir):
     """Whether each regressor's error on the test rows is below that of the training rows' mean."""
     rows, spec = _price_rows(spark, sf_dir)
-    table, _ = training.train_compare(rows, spec)
+    table, _ = training.compare_rows(rows, spec)
     out = training.against_baseline(rows, spec, table)
     return rounded(out.select("model", "n_test", "baseline", "better"), ["baseline"], 3)
 
@@ -133,15 +135,15 @@ def price_models_beat_mean(spark, sf_dir):
 def churn_models_beat_usual(spark, sf_dir):
     """Whether each classifier names the test rows no worse than the usual label does, and ranks them better than chance."""
     rows, spec = _churn_rows(spark, sf_dir)
-    table, _ = training.train_compare(rows, spec)
+    table, _ = training.compare_rows(rows, spec)
     out = training.against_baseline(rows, spec, table)
     return rounded(out.select("model", "n_test", "baseline", "better", (F.col("roc_auc") > 0.5).alias("ranks")), ["baseline"], 6)
 
 
 @query("churn_importance")
 def churn_importance(spark, sf_dir):
-    view, spec = _churn_rows(spark, sf_dir)
-    data = training.prepare(view, spec)
+    rows, spec = _churn_rows(spark, sf_dir)
+    data = training.prepare_rows(rows, spec)
     model = training.forest_classifier().fit(data.train)
     return training.feature_importance(spark, model, data.features)
 
@@ -149,8 +151,8 @@ def churn_importance(spark, sf_dir):
 @query("cv_grid")
 def cv_grid(spark, sf_dir):
     """The whole churn grid, 20 numbers of trees by 4 depths: accuracy over three folds."""
-    view, spec = _churn_rows(spark, sf_dir)
-    train = training.with_fold(training.prepare(view, spec).train, spec.key, 3)
+    rows, spec = _churn_rows(spark, sf_dir)
+    train = training.with_fold(training.prepare_rows(rows, spec).train, spec.key, 3)
     table, _ = training.search_forest(
         train, training.forest_classifier(), training.CHURN_FOREST_GRID, task="classification", folds=3, refit=False
     )
@@ -161,7 +163,7 @@ def cv_grid(spark, sf_dir):
 def cv_price_grid(spark, sf_dir):
     """The whole price grid, 3 numbers of trees by 5 depths: error over three folds."""
     rows, spec = _price_rows(spark, sf_dir)
-    train = training.with_fold(training.prepare(rows, spec).train, spec.key, 3)
+    train = training.with_fold(training.prepare_rows(rows, spec).train, spec.key, 3)
     table, _ = training.search_forest(train, training.forest_regressor(), training.PRICE_FOREST_GRID, folds=3, refit=False)
     return table
 
@@ -169,8 +171,8 @@ def cv_price_grid(spark, sf_dir):
 @query("cv_logistic")
 def cv_logistic(spark, sf_dir):
     """Five-fold accuracy of the logistic churn model."""
-    view, spec = _churn_rows(spark, sf_dir)
-    train = training.with_fold(training.prepare(view, spec).train, spec.key, 5)
+    rows, spec = _churn_rows(spark, sf_dir)
+    train = training.with_fold(training.prepare_rows(rows, spec).train, spec.key, 5)
     model = training.logistic_regression(train.count())
     table, _ = training.cross_validate(train, model, {"elasticNetParam": [0.0]}, task="classification")
     return table

@@ -38,6 +38,9 @@ CHURN_FOREST_GRID = {"numTrees": list(range(1, 100, 5)), "maxDepth": list(range(
 #: Different values of a column that an encoder may hold on the driver.
 MOST_LABELS = 100_000
 
+#: Training rows up to this number stay in the tasks they came in; a task is dealt so many more at most.
+FEW_ROWS, TASK_ROWS = 50_000, 500_000
+
 
 def price_models() -> dict[str, Estimator]:
     """The three regressors compared on prices."""
@@ -166,15 +169,19 @@ class Prepared:
     features: list[str]
 
 
+def model_rows(df: DataFrame, spec: Spec) -> DataFrame:
+    """Key, label and features of every row, written to the shared folder: training and judging read them many times."""
+    columns = [spec.key, spec.label, *spec.numeric, *spec.categories]
+    return written(df.select(*columns).withColumn("label", F.col(spec.label).cast("double")), "model-rows")
+
+
 def prepare(df: DataFrame, spec: Spec) -> Prepared:
-    """Split first, then fit encoder and scaling on the training rows only.
+    """Split first, then fit encoder and scaling on the training rows only."""
+    return prepare_rows(model_rows(df, spec), spec)
 
-    Training reads its rows many times, so they are written to the shared folder once.
-    """
-    columns = [spec.key, spec.label, *spec.numeric, *spec.categories]
-    rows = written(
-        df.select(*columns).withColumn("label", F.col(spec.label).cast("double")), "model-rows"
-    )
+
+def prepare_rows(rows: DataFrame, spec: Spec) -> Prepared:
+    """``prepare`` for rows of ``model_rows``, which are not written again."""
     train, test = split(rows, spec.key, spec.seed, spec.test_percent)
     encoder = None
     if spec.categories:
@@ -194,22 +201,35 @@ def prepare(df: DataFrame, spec: Spec) -> Prepared:
     )
 
 
-def together(spark: SparkSession, run: Callable, items: Sequence) -> list:
-    """Results of ``run`` for each item, all at a time: one learner's steps leave tasks' places and pauses to the others."""
+def dealt(train: DataFrame) -> DataFrame:
+    """The rows in equal parts, one for every task that runs at a time, or several of ``TASK_ROWS`` at most.
+
+    Learners run hundreds of short steps, each as long as its largest part. Up to ``FEW_ROWS`` nothing moves.
+    """
+    n = train.count()
+    if n <= FEW_ROWS:
+        return train
+    places = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(places * -(-n // (places * TASK_ROWS)))
+
+
+def together(spark: SparkSession, run: Callable, items: Sequence, at_once: int | None = None) -> list:
+    """Results of ``run`` for each item, all (or ``at_once``) at a time: one learner's steps leave tasks' places and pauses to the others."""
     if not items:
         return []
-    with ThreadPool(len(items)) as pool:
+    with ThreadPool(min(len(items), at_once or len(items))) as pool:
         return pool.map(inheritable_thread_target(spark)(run), items, chunksize=1)
 
 
 def evaluate(predictions: DataFrame, task: str, model: str) -> DataFrame:
-    """One row of hold-out measures with the model's name."""
+    """One row of hold-out measures with the model's name; the model is applied once, its predictions are written."""
     if task == "regression":
-        return rmse(predictions, "label", "prediction").select(
+        scored = written(predictions.select("label", "prediction"), "scored")
+        return rmse(scored, "label", "prediction").select(
             F.lit(model).alias("model"), "rmse", "mean_prediction"
         )
-    scored = predictions.select(
-        "label", "prediction", vector_to_array("probability")[1].alias("score")
+    scored = written(
+        predictions.select("label", "prediction", vector_to_array("probability")[1].alias("score")), "scored"
     )
     right = accuracy(scored, "label", "prediction").select("accuracy").scalar()
     area = roc_auc(scored, "score", "label").select("auc").scalar()
@@ -219,16 +239,24 @@ def evaluate(predictions: DataFrame, task: str, model: str) -> DataFrame:
 
 def train_compare(df: DataFrame, spec: Spec) -> tuple[DataFrame, dict[str, object]]:
     """Train every model on the same split; returns the comparison table and the fitted models."""
-    data = prepare(df, spec)
-    data.train.persist()
+    return compare_rows(model_rows(df, spec), spec)
+
+
+def compare_rows(rows: DataFrame, spec: Spec) -> tuple[DataFrame, dict[str, object]]:
+    """``train_compare`` for rows of ``model_rows``; a model is judged while others are still fitted."""
+    data = prepare_rows(rows, spec)
+    train = dealt(data.train).persist()
+
+    def fit_and_judge(name: str) -> tuple[object, DataFrame]:
+        model = spec.models[name].fit(train)
+        return model, evaluate(model.transform(data.test), spec.task, name)
+
     try:
-        data.train.count()
-        models = together(df.sparkSession, lambda estimator: estimator.fit(data.train), list(spec.models.values()))
-        fitted = dict(zip(spec.models, models))
+        train.count()
+        found = together(rows.sparkSession, fit_and_judge, list(spec.models))
     finally:
-        data.train.unpersist()
-    rows = [evaluate(m.transform(data.test), spec.task, name) for name, m in fitted.items()]
-    return union_all(rows), fitted
+        train.unpersist()
+    return union_all([judged for _, judged in found]), {name: model for name, (model, _) in zip(spec.models, found)}
 
 
 def against_baseline(df: DataFrame, spec: Spec, table: DataFrame) -> DataFrame:

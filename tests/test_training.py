@@ -199,3 +199,27 @@ def test_folds_and_models_are_fitted_together_and_rows_keep_their_nodes(spark, m
 
     with pytest.raises(ValueError, match="no fit"):
         real(spark, broken, [1, 2])
+
+
+def test_rows_are_stored_once_and_dealt_evenly_and_models_applied_once(spark, monkeypatch):
+    """A comparison and its baseline read the rows of one write; parts are equal, and as many as tasks run at a time."""
+    cells = [(i, float(i % 7), float(i % 11), (i % 7) * 3.0 + (i % 11)) for i in range(1000)]
+    df = spark.createDataFrame(cells, "k int, a double, b double, y double").coalesce(1)
+    assert training.dealt(df).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(training, "FEW_ROWS", 100)
+    places = spark.sparkContext.defaultParallelism
+    sizes = training.dealt(df).rdd.glom().map(len).collect()
+    assert len(sizes) == places and max(sizes) - min(sizes) <= 10
+    monkeypatch.setattr(training, "TASK_ROWS", 100)
+    many = training.dealt(df)
+    assert many.rdd.getNumPartitions() == places * -(-1000 // (places * 100)) and sorted(many.collect()) == sorted(df.collect())
+    names, real = [], training.written
+    monkeypatch.setattr(training, "written", lambda df, name: names.append(name) or real(df, name))
+    spec = training.Spec("k", "y", ["a", "b"], models={"linear": training.linear_regression(), "forest": training.forest_regressor(4, 5)})
+    rows = training.model_rows(df, spec)
+    table, fitted = training.compare_rows(rows, spec)
+    got = training.against_baseline(rows, spec, table)
+    assert names[0] == "model-rows" and sorted(names[1:]) == ["scored", "scored"]
+    assert [r["model"] for r in got.collect()] == ["linear", "forest"] == list(fitted) and all(r["better"] for r in got.collect())
+    assert "UDF" not in got._jdf.queryExecution().toString()  # no model is applied again by the table
+    assert fitted["linear"].coefficients.toArray().tolist() == pytest.approx([3.0, 1.0])
