@@ -293,7 +293,7 @@ def cross_validate(
     """K-fold score of every grid point; ``train`` has label, features and a ``fold`` column.
 
     Returns rows (the grid parameters, metric, best) and the fitted validator, whose best model is
-    the one with the lowest error or the highest accuracy.
+    the one with the lowest error or the highest accuracy. Folds are fitted at a time.
     """
     builder = ParamGridBuilder()
     for name, values in grid.items():
@@ -312,16 +312,39 @@ def cross_validate(
         foldCol="fold",
         parallelism=parallelism,
     )
-    train = train.persist()
+    train = dealt(train).persist()
     try:
-        model = validator.fit(train)
+        sizes = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
+        if wrong := [f for f in sizes if f is None or not 0 <= f < folds]:
+            raise ValueError(f"folds are numbered from 0 to {folds - 1}, found {wrong}")
+        if empty := [f for f in range(folds) if f not in sizes or len(sizes) < 2]:
+            raise ValueError(f"no rows to train on or to judge in fold {empty}")
+
+        def run(fold: int | None, point: dict) -> object:
+            if fold is None:
+                return estimator.copy(point).fit(train)
+            fitted = estimator.copy(point).fit(train.where(F.col("fold") != fold))
+            return judge.evaluate(fitted.transform(train.where(F.col("fold") == fold)))
+
+        steps = [(fold, point) for fold in range(folds) for point in points]
+        if len(points) == 1:  # the best without being judged: fitted beside the folds
+            steps.append((None, points[0]))
+        found = together(train.sparkSession, lambda step: run(*step), steps, max(parallelism, folds + 1))
+        scores = [found[i : folds * len(points) : len(points)] for i in range(len(points))]
+        means = [sum(s) / folds for s in scores]
+        best = (max if judge.isLargerBetter() else min)(range(len(points)), key=lambda i: means[i])
+        model = CrossValidatorModel(
+            found[-1] if len(points) == 1 else run(None, points[best]), means,
+            stdMetrics=[(sum((x - m) ** 2 for x in s) / folds) ** 0.5 for s, m in zip(scores, means)],
+        )
     finally:
         train.unpersist()
-    pick = max if judge.isLargerBetter() else min
-    best = pick(range(len(points)), key=lambda i: model.avgMetrics[i])
+    for param, value in validator.extractParamMap().items():
+        if model.hasParam(param.name):
+            model.set(model.getParam(param.name), value)
     rows = [
         (*[float(point[estimator.getParam(n)]) for n in grid], float(metric), i == best)
-        for i, (point, metric) in enumerate(zip(points, model.avgMetrics))
+        for i, (point, metric) in enumerate(zip(points, means))
     ]
     names = ", ".join(f"{n} double" for n in grid)
     schema = f"{names}{', ' if names else ''}metric double, best boolean"

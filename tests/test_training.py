@@ -223,3 +223,24 @@ def test_rows_are_stored_once_and_dealt_evenly_and_models_applied_once(spark, mo
     assert [r["model"] for r in got.collect()] == ["linear", "forest"] == list(fitted) and all(r["better"] for r in got.collect())
     assert "UDF" not in got._jdf.queryExecution().toString()  # no model is applied again by the table
     assert fitted["linear"].coefficients.toArray().tolist() == pytest.approx([3.0, 1.0])
+
+
+def test_folds_of_a_cross_validation_are_fitted_together(rows, monkeypatch):
+    data = training.prepare(rows, spec(label="t", task="classification"))
+    train = training.with_fold(data.train, "id", 3)
+    ran, real = [], training.together
+    monkeypatch.setattr(training, "together", lambda spark, run, items, *n: ran.append(len(items)) or real(spark, run, items, *n))
+    learner = training.logistic_regression(1000)
+    table, model = training.cross_validate(train, learner, {"elasticNetParam": [0.0]}, "classification", 3)
+    right = []
+    for fold in range(3):
+        said = learner.fit(train.where(F.col("fold") != fold)).transform(train.where(F.col("fold") == fold)).collect()
+        right.append(np.mean([r["prediction"] == r["label"] for r in said]))
+    assert ran == [4]  # three folds and the model of all rows
+    assert table.first()["metric"] == pytest.approx(np.mean(right)) == model.avgMetrics[0]
+    assert model.stdMetrics[0] == pytest.approx(np.std(right)) and model.getNumFolds() == 3
+    assert model.bestModel.coefficients.toArray().tolist() == pytest.approx(learner.fit(train).coefficients.toArray().tolist())
+    with pytest.raises(ValueError, match="fold"):
+        training.cross_validate(train, learner, {"elasticNetParam": [0.0]}, "classification", 2)
+    with pytest.raises(ValueError, match="fold"):
+        training.cross_validate(train, learner, {"elasticNetParam": [0.0]}, "classification", 4)
