@@ -379,3 +379,47 @@ def test_talks_of_close_members_are_found_and_meet_the_pairs_in_place(spark, pla
     talked = {tuple(r) for r in geo_marts.talked_pairs(events).collect()}
     got = {(r["user_id_left"], r["user_id_right"]) for r in found.collect()}
     assert got and talked and not talked & got
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_common_groups_beyond_the_bits_and_blocks_cut_by_meetings(spark, plan, monkeypatch, kind):
+    """The 63 most frequent groups have a bit, others are lists; a block pair with too many meetings is cut on both sides."""
+    from milepost.operators import pairs
+
+    monkeypatch.setattr(pairs, "TARGET_MEETINGS", 40)
+    rng = random.Random(8)
+    rows = [(i, [*rng.sample(range(90), rng.randrange(12)), *([500 + i // 2] * (i % 5 == 0))], 10.0 + rng.uniform(-0.004, 0.02), 20.0) for i in range(120)]
+    rows += [(200 + i, [-1, None, 1000 + i // 3], 50.0, 20.0) for i in range(9)] + [(300, [], 10.0, 20.0), (301, None, 10.0, 20.0)]
+    members = spark.createDataFrame(rows, "id int, ch array<int>, lat double, lon double")
+    members = members.withColumn("ch", F.col("ch").cast(f"array<{kind}>"))
+    want = {
+        (a[0], b[0]) for a in rows for b in rows
+        if a[0] < b[0] and {*(a[1] or [])} & {*(b[1] or [])} - {None} and km(a[2:], b[2:]) < 1.0
+    }
+    for block in (20_000, 6):
+        found = pairs_within(members, 1.0, "ch", "id", rows_per_block=block)
+        got = [(r["id_left"], r["id_right"]) for r in found.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    # dealt once, by the blocks, into all partitions: no exchange by the join's own key on top
+    text = plan(found).split("Initial Plan")[-1]
+    assert text.count("REPARTITION_BY_NUM") == 2 and "hashpartitioning(cast(spot" not in text
+
+
+def test_both_directions_of_a_pair_and_its_clock(spark, plan, tmp_path):
+    """Pairs are turned by a constant array, their local times are cast for each member, and only possible talks are looked up."""
+    from milepost.catalog import derive
+
+    kinds = ("purchase", "signup", "signup", "view")
+    rows = [(e, dt.datetime(2024, 1, 1 + e // 200, e % 24), e * 7 % 90, kinds[e // 90 % 4]) for e in range(3600)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    events, cities = derive.friend_events(spark, str(tmp_path)), derive.cities(spark)
+    pairs = geo_marts.friend_pairs(events, cities).collect()
+    assert pairs and "talks" not in " ".join(pairs[0].asDict())
+    found = geo_marts.friend_recommendations(events, cities, zoneless=True)
+    text = plan(found)
+    assert "explode([true,false])" in text and "cast(local_time" not in text and "CASE WHEN (talks_left" in text
+    got = [(r["user_left"], r["user_right"], r["zone_id"], r["local_time"]) for r in found.collect()]
+    both = [(p["user_id_left"], p["user_id_right"], p["zone_id_left"], p["local_time_left"]) for p in pairs]
+    both += [(p["user_id_right"], p["user_id_left"], p["zone_id_right"], p["local_time_right"]) for p in pairs]
+    assert sorted(got) == sorted(both)
+    assert dict(found.dtypes)["local_time"] == "timestamp_ntz"
